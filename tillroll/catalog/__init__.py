@@ -3,6 +3,6 @@
 
 def load():
     """Import every area, which registers its queries."""
-    from tillroll.catalog import cleaning, customers, registry  # noqa: F401
+    from tillroll.catalog import cleaning, customers, recommend, registry  # noqa: F401
 
     return registry
