@@ -6,6 +6,7 @@ from tillroll.catalog.cleaning import lines, text_day
 from tillroll.catalog.oracle_base import CUSTOMER, with_ctes
 from tillroll.catalog.registry import query
 from tillroll.operators import cleaning, customers
+from tillroll.session import settle
 
 DAYS = """
 days AS (SELECT DISTINCT customer_id, CAST(invoice_date AS DATE) AS day FROM customer_lines),
@@ -59,7 +60,7 @@ def customer_lines(spark, sf_dir):
 
 
 def timelines(spark, sf_dir):
-    return customers.customer_timelines(customer_lines(spark, sf_dir))
+    return settle(customers.customer_timelines(customer_lines(spark, sf_dir)))
 
 
 def features(spark, sf_dir):
@@ -74,7 +75,7 @@ def features(spark, sf_dir):
 FROM customer_lines, top""",
 )
 def quarters_split(spark, sf_dir):
-    past, current = customers.split_quarters(customer_lines(spark, sf_dir))
+    past, current = customers.split_quarters(settle(customer_lines(spark, sf_dir)))
     both = past.withColumn("side", F.lit("past")).unionByName(current.withColumn("side", F.lit("current")))
     day = F.to_date("invoice_date").cast("string").alias("invoice_day")
     return both.select("side", "invoice", "stock_code", "customer_id", day)
@@ -95,7 +96,7 @@ def purchase_days(spark, sf_dir):
     + "SELECT customer_id, CAST(max(day) AS VARCHAR) AS last_purchase FROM past GROUP BY customer_id",
 )
 def last_purchase(spark, sf_dir):
-    past, _ = customers.split_quarters(customer_lines(spark, sf_dir))
+    past, _ = customers.split_quarters(settle(customer_lines(spark, sf_dir)))
     return customers.last_purchase_per_customer(past).withColumn("last_purchase", text_day("last_purchase"))
 
 
@@ -105,7 +106,7 @@ def last_purchase(spark, sf_dir):
     + "SELECT customer_id, CAST(min(day) AS VARCHAR) AS first_purchase FROM recent GROUP BY customer_id",
 )
 def first_purchase(spark, sf_dir):
-    _, current = customers.split_quarters(customer_lines(spark, sf_dir))
+    _, current = customers.split_quarters(settle(customer_lines(spark, sf_dir)))
     return customers.first_purchase_per_customer(current).withColumn(
         "first_purchase", text_day("first_purchase")
     )
@@ -113,7 +114,7 @@ def first_purchase(spark, sf_dir):
 
 @query("next_quarter_label", with_ctes(*CUSTOMER, DAYS, LABELS) + "SELECT * FROM labels_of")
 def label(spark, sf_dir):
-    return customers.next_quarter_label(*customers.split_quarters(customer_lines(spark, sf_dir)))
+    return customers.next_quarter_label(*customers.split_quarters(settle(customer_lines(spark, sf_dir))))
 
 
 @query(
@@ -189,7 +190,7 @@ def frequent(spark, sf_dir):
     with_ctes(*FEATURE_ROWS) + "SELECT target, count(*) AS customers, count(y_label) AS labels FROM feature_rows GROUP BY target",
 )
 def stacked(spark, sf_dir):
-    table = customer_lines(spark, sf_dir)
+    table = settle(customer_lines(spark, sf_dir))
     all_times = customers.customer_timelines(table)
     train = customers.filter_min_frequency(
         customers.assemble_features(customers.past_timelines(all_times))

@@ -7,6 +7,7 @@ from tillroll.catalog.customers import customer_lines
 from tillroll.catalog.oracle_base import CUSTOMER, INVOICES, with_ctes
 from tillroll.catalog.registry import query
 from tillroll.operators import baskets, recommend, sampling
+from tillroll.session import settle
 
 NEIGHBORS = 5
 SPLITS = (1, 2, 3, 4, 5)
@@ -71,7 +72,7 @@ def top_sql(key, value, table):
 
 
 def bought_pairs(spark, sf_dir):
-    return baskets.customer_item_pairs(customer_lines(spark, sf_dir))
+    return settle(baskets.customer_item_pairs(customer_lines(spark, sf_dir)))
 
 
 def near_items(spark, sf_dir):
@@ -80,7 +81,7 @@ def near_items(spark, sf_dir):
 
 def scored(spark, sf_dir):
     pairs = bought_pairs(spark, sf_dir)
-    edges = baskets.item_similarity(pairs)
+    edges = settle(baskets.item_similarity(pairs))
     return recommend.recommendation_scores(pairs, edges, baskets.item_neighbors(edges, NEIGHBORS))
 
 
@@ -90,7 +91,7 @@ def best(spark, sf_dir):
 
 @query("customer_item_pairs", with_ctes(*CUSTOMER, PAIRS) + "SELECT * FROM bought")
 def pairs_query(spark, sf_dir):
-    return bought_pairs(spark, sf_dir)
+    return baskets.customer_item_pairs(customer_lines(spark, sf_dir))
 
 
 @query(
@@ -98,7 +99,7 @@ def pairs_query(spark, sf_dir):
     with_ctes(*CUSTOMER, PAIRS) + "SELECT customer_id, count(*) AS n_items FROM bought GROUP BY customer_id",
 )
 def item_counts(spark, sf_dir):
-    return baskets.items_per_customer(bought_pairs(spark, sf_dir))
+    return baskets.items_per_customer(baskets.customer_item_pairs(customer_lines(spark, sf_dir)))
 
 
 @query(
@@ -145,13 +146,16 @@ def neighbors_query(spark, sf_dir):
     with_ctes(*CUSTOMER, PAIRS, ONE_SPLIT, EDGES, SCORES) + "SELECT customer_id, stock_code FROM candidates",
 )
 def candidates_query(spark, sf_dir):
-    return recommend.candidate_items(bought_pairs(spark, sf_dir), near_items(spark, sf_dir))
+    pairs = bought_pairs(spark, sf_dir)
+    near = baskets.item_neighbors(baskets.item_similarity(pairs), NEIGHBORS)
+    return recommend.candidate_items(pairs, near)
 
 
 @query("exclude_purchased", with_ctes(*WHOLE) + "SELECT customer_id, stock_code FROM members WHERE NOT has")
 def new_candidates(spark, sf_dir):
     pairs = bought_pairs(spark, sf_dir)
-    candidates = recommend.candidate_items(pairs, near_items(spark, sf_dir))
+    near = baskets.item_neighbors(baskets.item_similarity(pairs), NEIGHBORS)
+    candidates = recommend.candidate_items(pairs, near)
     return recommend.exclude_purchased(candidates, pairs)
 
 
@@ -246,11 +250,11 @@ final AS (SELECT invoice, arg_max(shown, k) AS shown FROM fold GROUP BY invoice)
        CAST(generate_subscripts(shown, 1) AS INTEGER) AS place FROM final""",
 )
 def carts_query(spark, sf_dir):
-    table = customer_lines(spark, sf_dir)
+    table = settle(customer_lines(spark, sf_dir))
     carts = table.select(
         F.col("invoice").alias("cart_id"), "stock_code", F.col("stock_code").alias("position")
     ).distinct()
-    neighbors = baskets.item_neighbors(baskets.item_similarity(baskets.customer_item_pairs(table)), NEIGHBORS)
+    neighbors = baskets.item_neighbors(baskets.item_similarity(settle(baskets.customer_item_pairs(table))), NEIGHBORS)
     return recommend.cart_recommendations(carts, neighbors)
 
 
@@ -266,7 +270,8 @@ def held_out(spark, sf_dir):
 
 def split_rates(spark, sf_dir):
     train, test = sampling.holdout_items(bought_pairs(spark, sf_dir), splits=SPLITS, seed=7)
-    edges = baskets.item_similarity(train, BY)
+    train = settle(train)
+    edges = settle(baskets.item_similarity(train, BY))
     near = baskets.item_neighbors(edges, NEIGHBORS, BY)
     scores = recommend.recommendation_scores(train, edges, near, BY)
     return recommend.hit_rates(test, recommend.top_recommendations(scores, NEIGHBORS, BY), BY)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tillroll.functions.dates import quarter_begin, quarter_end, quarter_number, recency_days
+from tillroll.session import settle
 
 
 def distinct_purchase_days(lines: DataFrame) -> DataFrame:
@@ -145,7 +146,7 @@ def purchase_features(lines: DataFrame, n: int = 3) -> DataFrame:
     The label of a past customer also follows from the timeline: a day in the quarter
     before the latest one and a day after it.
     """
-    timelines = customer_timelines(lines)
+    timelines = settle(customer_timelines(lines))
     latest = latest_day(timelines)
     both = F.exists("all_days", lambda day: day > quarter_end(F.col("latest"), -1)) & F.exists(
         "days", lambda day: day >= quarter_begin(F.col("latest"), -1)

@@ -11,6 +11,7 @@ its candidates, and each block adds up the similarities with numpy while the cus
 stream past it.
 """
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -18,6 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, Window
 
+from tillroll.session import settle
+
 BLOCK_ITEMS = 1024
 MEMBERS_PER_ROW = 1024
 CUSTOMERS_PER_SALT = 250_000
@@ -47,32 +50,31 @@ def recommendation_scores(
     members_per_row: int = MEMBERS_PER_ROW,
     customers_per_salt: int = CUSTOMERS_PER_SALT,
 ) -> DataFrame:
-    """Score of every item a customer has not bought but whose neighbor they bought."""
+    """Score of every item a customer has not bought but whose neighbor they bought.
+
+    ``pairs`` and ``edges`` are read several times: pass stored tables.
+    """
     by = list(by)
     bought = pairs.select(*by, "customer_id", "stock_code").withColumn("bought", F.lit(True))
-    members = (
+    members = settle(
         candidate_items(pairs, neighbors, by)
         .join(bought, [*by, "customer_id", "stock_code"], "left")
         .withColumn("bought", F.coalesce("bought", F.lit(False)))
-        .repartition(*by, "customer_id")  # serves all three groupings and the join below
-    )
-
-    # number of blocks and of copies of the edges: both follow from the data, without an action
-    per_split = Window.partitionBy(*by, "customer_id")
-    n_blocks = F.greatest(
-        F.lit(1),
-        F.ceil(pairs.select(F.approx_count_distinct("stock_code")).scalar() / F.lit(block_items)),
     )
-    n_salts = F.greatest(
-        F.lit(1),
-        F.ceil(pairs.select(F.approx_count_distinct("customer_id")).scalar() / F.lit(customers_per_salt)),
-    )
-    block = F.pmod(F.xxhash64("item"), n_blocks).cast("int").alias("block")
-
-    key = F.struct(*by).cast("string") if by else F.lit("")
-    sized = members.withColumn("n_rows", F.ceil(F.count("*").over(per_split) / F.lit(members_per_row)))
-    rows = sized.groupBy(*by, "customer_id", F.pmod(F.xxhash64("stock_code"), F.col("n_rows")).alias("part")).agg(
-        F.collect_list("stock_code").alias("members"), F.collect_list("bought").alias("flags")
+    n_items, n_customers = pairs.agg(
+        F.approx_count_distinct("stock_code"), F.approx_count_distinct("customer_id")
+    ).first()
+    n_blocks = max(1, math.ceil(n_items / block_items))
+    n_salts = max(1, math.ceil(n_customers / customers_per_salt))
+    n_parts = max(1, math.ceil(n_items / members_per_row))
+
+    block = F.pmod(F.xxhash64("item"), F.lit(n_blocks)).alias("block")
+    part = F.pmod(F.xxhash64("stock_code"), F.ceil(F.col("n_members") / F.lit(members_per_row)))
+    sizes = F.count("*").over(Window.partitionBy(*by, "customer_id"))
+    rows = (
+        members.withColumn("n_members", sizes)
+        .groupBy(*by, "customer_id", part.alias("part"))
+        .agg(F.collect_list(F.struct("stock_code", "bought")).alias("members"))
     )
     wanted = (
         members.where(~F.col("bought"))
@@ -80,22 +82,32 @@ def recommendation_scores(
         .groupBy(*by, "customer_id", block)
         .agg(F.collect_list("item").alias("candidates"))
     )
-    salt = F.pmod(F.xxhash64("customer_id"), n_salts).cast("int").alias("salt")
+    salt = F.pmod(F.xxhash64("customer_id"), F.lit(n_salts)).alias("salt")
     customers = wanted.join(rows, [*by, "customer_id"]).select(
-        key.alias("split"), "block", salt, F.lit(1).alias("kind"), *by, "customer_id",
-        "candidates", "members", "flags",
+        *by, "block", salt, "customer_id", "candidates", "members"
     )
-    copies = F.explode(F.sequence(F.lit(0), n_salts.cast("int") - 1)).alias("salt")
-    similarities = edges.select(
-        key.alias("split"), block, copies, F.lit(0).alias("kind"), *by, "item", "neighbor", "similarity"
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_salts - 1).cast("long"))).alias("salt")
+    adjacency = (
+        edges.groupBy(*by, "item", F.pmod(F.xxhash64("neighbor"), F.lit(n_parts)).alias("part"))
+        .agg(F.collect_list(F.struct("neighbor", "similarity")).alias("near"))
+        .select(*by, block, copies, "item", "near")
     )
-    order = ["split", "block", "salt"]
+    # one whole number orders the stream: split, block, salt, and edges before customers.
+    # The other side's lists are empty, not null: null lists are very slow on their way to Arrow.
+    split = F.col(by[0]).cast("long") if by else F.lit(0)
+    cell = (split * n_blocks + F.col("block")) * n_salts + F.col("salt")
+    types = dict(customers.dtypes) | dict(adjacency.dtypes)
+    empty = {c: F.array().cast(types[c]).alias(c) for c in ("candidates", "members", "near")}
     stream = (
-        customers.unionByName(similarities, allowMissingColumns=True)
-        .repartition(*order)
-        .sortWithinPartitions(*order, "kind")
+        customers.select(cell.alias("cell"), (cell * 2 + 1).alias("place"), *by, "customer_id",
+                         F.lit("").alias("item"), "candidates", "members", empty["near"])
+        .unionByName(
+            adjacency.select(cell.alias("cell"), (cell * 2).alias("place"), *by, F.lit(0).cast(types["customer_id"]).alias("customer_id"),
+                             "item", empty["candidates"], empty["members"], "near")
+        )
+        .repartition("cell")
+        .sortWithinPartitions("place")
     )
-    types = dict(stream.dtypes)
     schema = ", ".join(
         [f"{c} {types[c]}" for c in (*by, "customer_id")] + ["stock_code string", "near double", "total double"]
     )
@@ -113,57 +125,51 @@ def _block_scorer(by):
     carried = [*by, "customer_id"]
 
     def score(batches):
-        current, parts, block = None, [], None
+        cell, parts, block = None, [], None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            place = [table[c].combine_chunks() for c in ("split", "block", "salt", "kind")]
-            differs = [
-                pc.not_equal(p.slice(1), p.slice(0, len(p) - 1)).to_numpy(zero_copy_only=False) for p in place
-            ]
-            changes = np.flatnonzero(np.any(differs, axis=0)) + 1
-            for start, stop in zip([0, *changes], [*changes, len(table)]):
-                if start == stop:
-                    continue
-                run = table.slice(start, stop - start)
-                where = tuple(p[start].as_py() for p in place[:3])
-                if where != current:
-                    current, parts, block = where, [], None
-                if place[3][start].as_py() == 0:
-                    parts.append(run.select(["item", "neighbor", "similarity"]))
+            place = batch["place"].to_numpy()
+            changes = np.flatnonzero(place[1:] != place[:-1]) + 1
+            for start, stop in zip([0, *changes], [*changes, len(place)]):
+                run = batch.slice(start, stop - start)
+                if place[start] // 2 != cell:
+                    cell, parts, block = place[start] // 2, [], None
+                if place[start] % 2 == 0:
+                    parts.append(run.select(["item", "near"]))
                 elif parts:
-                    block = block or _EdgeBlock(pa.concat_tables(parts))
+                    block = block or _EdgeBlock(pa.Table.from_batches(parts).combine_chunks())
                     yield block.score(run, carried)
 
     return score
 
 
 class _EdgeBlock:
-    """Edges of some items, kept as one dense row at a time."""
-
-    def __init__(self, edges):
-        edges = edges.combine_chunks()
-        self.items = pc.unique(edges["item"])
-        self.vocabulary = pc.unique(edges["neighbor"])
-        item = pc.index_in(edges["item"], value_set=self.items).to_numpy()
-        neighbor = pc.index_in(edges["neighbor"], value_set=self.vocabulary).to_numpy()
-        order = np.argsort(item, kind="stable")
-        self.neighbor = neighbor[order]
-        self.similarity = edges["similarity"].to_numpy()[order]
-        self.starts = np.searchsorted(item[order], np.arange(len(self.items) + 1))
+    """Edges of some items, laid out densely for one item at a time."""
+
+    def __init__(self, adjacency):
+        item, near = adjacency["item"].combine_chunks(), adjacency["near"].combine_chunks()
+        near, sizes = _flat(near)
+        self.items = pc.unique(item)
+        self.vocabulary = pc.unique(near.field("neighbor"))
+        row = np.repeat(pc.index_in(item, value_set=self.items).to_numpy(), sizes)
+        order = np.argsort(row, kind="stable")
+        self.neighbor = pc.index_in(near.field("neighbor"), value_set=self.vocabulary).to_numpy()[order]
+        self.similarity = near.field("similarity").to_numpy()[order]
+        self.starts = np.searchsorted(row[order], np.arange(len(self.items) + 1))
 
     def score(self, rows, carried):
-        rows = rows.combine_chunks()
+        """Sums per customer row and candidate item: near over bought members, total over all."""
         members, sizes = _flat(rows["members"])
-        column = pc.index_in(members, value_set=self.vocabulary)
+        column = pc.index_in(members.field("stock_code"), value_set=self.vocabulary)
         # members without an edge in this block point at a last, always empty, column
         column = pc.fill_null(column, len(self.vocabulary)).to_numpy()
-        flags = pc.cast(_flat(rows["flags"])[0], pa.float64()).to_numpy()
+        bought = pc.cast(members.field("bought"), pa.float64()).to_numpy()
         ends = np.cumsum(sizes)
 
         wanted, counts = _flat(rows["candidates"])
-        known = pc.index_in(wanted, value_set=self.items)
-        row = np.repeat(np.arange(len(rows)), counts)[known.is_valid().to_numpy(zero_copy_only=False)]
-        item = known.drop_null().to_numpy()
+        item = pc.index_in(wanted, value_set=self.items)
+        known = item.is_valid().to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(sizes)), counts)[known]
+        item = item.drop_null().to_numpy()
         order = np.argsort(item, kind="stable")
         row, item = row[order], item[order]
         bounds = np.searchsorted(item, np.arange(len(self.items) + 1))
@@ -179,19 +185,15 @@ class _EdgeBlock:
             at = np.arange(length.sum()) + np.repeat(ends[row[mine]] - length - first, length)
             weight = dense[column[at]]
             total[mine] = np.add.reduceat(weight, first)
-            near[mine] = np.add.reduceat(weight * flags[at], first)
+            near[mine] = np.add.reduceat(weight * bought[at], first)
             dense[self.neighbor[edge]] = 0.0
-        taken = rows.select(carried).take(pa.array(row))
-        result = taken.append_column("stock_code", self.items.take(pa.array(item)))
-        result = result.append_column("near", pa.array(near)).append_column("total", pa.array(total))
-        return result.combine_chunks().to_batches()[0] if len(result) else pa.RecordBatch.from_pylist(
-            [], schema=result.schema
-        )
+        columns = [rows[c].take(pa.array(row)) for c in carried]
+        columns += [self.items.take(pa.array(item)), pa.array(near), pa.array(total)]
+        return pa.RecordBatch.from_arrays(columns, names=[*carried, "stock_code", "near", "total"])
 
 
 def _flat(lists):
-    lists = lists.combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    """Values of all lists, and the length of each."""
     return lists.flatten(), pc.list_value_length(lists).to_numpy().astype(np.int64)
 
 

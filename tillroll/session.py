@@ -1,8 +1,11 @@
-"""Session settings and the shared folder for cut lineage."""
+"""Session settings and stored intermediate tables."""
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_LOCAL_FOLDERS = {}
 
 
 def local_session(cores=8, shuffle_partitions=8, app="tillroll", **conf):
@@ -23,18 +26,30 @@ def local_session(cores=8, shuffle_partitions=8, app="tillroll", **conf):
     return spark
 
 
-def ensure_checkpoint_dir(spark):
-    """Use the folder the cluster names in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in spark.checkpoint.dir.
+
+    Only a local session, where every task sees the same disk, may fall back to a
+    temporary folder, which goes away with the process.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.TemporaryDirectory(prefix="tillroll-")
+    return _LOCAL_FOLDERS[application].name
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Store a table that several steps read, and go on from the stored copy.
 
-    Only a local session, where every task sees the same disk, may fall back to
-    a temporary folder.
+    Its lineage ends there: a lost executor costs a re-read, and the steps that use it do
+    not compute it again. Unlike a cached table it keeps sizes and column pruning.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tillroll-checkpoint-")
-    context.setCheckpointDir(shared)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
