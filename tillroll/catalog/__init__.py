@@ -3,6 +3,8 @@
 
 def load():
     """Import every area, which registers its queries."""
-    from tillroll.catalog import cleaning, customers, recommend, registry  # noqa: F401
+    from tillroll.catalog import (  # noqa: F401
+        cleaning, customers, metrics, predictor, profile, recommend, registry, series,
+    )
 
     return registry

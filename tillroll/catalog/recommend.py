@@ -46,12 +46,19 @@ candidates AS (
 members AS (
   SELECT c.*, p.stock_code IS NOT NULL AS has FROM candidates c LEFT JOIN train p
     ON p.split_id = c.split_id AND p.customer_id = c.customer_id AND p.stock_code = c.stock_code),
+keyed AS MATERIALIZED (
+  SELECT split_id * 100000000 + customer_id AS who,
+         split_id * 100000000 + CAST(stock_code AS BIGINT) AS what, has FROM members),
+links AS MATERIALIZED (
+  SELECT split_id * 100000000 + CAST(item AS BIGINT) AS item,
+         split_id * 100000000 + CAST(neighbor AS BIGINT) AS neighbor, similarity FROM edges),
+sums AS (
+  SELECT i.who, i.what, sum(CASE WHEN j.has THEN similarity ELSE 0 END) / sum(similarity) AS score
+  FROM keyed i JOIN links e ON e.item = i.what JOIN keyed j ON j.who = i.who AND j.what = e.neighbor
+  WHERE NOT i.has GROUP BY i.who, i.what),
 scores AS (
-  SELECT i.split_id, i.customer_id, i.stock_code,
-         sum(CASE WHEN j.has THEN similarity ELSE 0 END) / sum(similarity) AS score
-  FROM members i JOIN members j ON j.split_id = i.split_id AND j.customer_id = i.customer_id
-    JOIN edges e ON e.split_id = i.split_id AND e.item = i.stock_code AND e.neighbor = j.stock_code
-  WHERE NOT i.has GROUP BY ALL),
+  SELECT CAST(who // 100000000 AS INTEGER) AS split_id, who % 100000000 AS customer_id,
+         CAST(what % 100000000 AS VARCHAR) AS stock_code, score FROM sums),
 top AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY split_id, customer_id
                    ORDER BY round(score, 9) DESC, stock_code) AS place FROM scores) WHERE place <= 5)"""
@@ -198,7 +205,7 @@ FROM customer LEFT JOIN wide ON customer_id = c_custkey""",
 def customer_lookup(spark, sf_dir):
     wanted = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("customer_id"))
     table = recommend.recommend_for_customers(best(spark, sf_dir), NEIGHBORS)
-    return recommend.lookup(table, "customer_id", wanted, 3, ignore_missing=True)
+    return recommend.lookup_recommendations(table, "customer_id", wanted, 3, ignore_missing=True)
 
 
 @query(
@@ -211,7 +218,7 @@ def item_lookup(spark, sf_dir):
     parts = spark.read.parquet(f"{sf_dir}/part.parquet")
     wanted = parts.select(F.col("p_partkey").cast("string").alias("item"))
     table = recommend.recommend_for_items(near_items(spark, sf_dir), NEIGHBORS)
-    return recommend.lookup(table, "item", wanted, 3, ignore_missing=True)
+    return recommend.lookup_recommendations(table, "item", wanted, 3, ignore_missing=True)
 
 
 @query(

@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, Window
 
+from tillroll.operators.lookups import keyed_lookup
 from tillroll.session import settle
 
 BLOCK_ITEMS = 1024
@@ -217,20 +218,9 @@ def recommend_for_customers(top: DataFrame, n: int) -> DataFrame:
     return as_top_columns(top, "customer_id", "stock_code", n)
 
 
-def lookup(table: DataFrame, key: str, wanted: DataFrame | Sequence, n: int, ignore_missing: bool = False) -> DataFrame:
-    """``top_1`` .. ``top_n`` of the wanted keys, given as a list or as a table with the key column.
-
-    A key without an entry raises KeyError, or gives a row of nulls with ``ignore_missing``.
-    """
-    if not isinstance(wanted, DataFrame):
-        spark = table.sparkSession
-        wanted = spark.createDataFrame([(k,) for k in wanted], f"{key} {dict(table.dtypes)[key]}")
-    wanted = wanted.select(key).distinct()
-    if not ignore_missing:
-        missing = wanted.join(table.select(key), key, "left_anti").limit(5).collect()
-        if missing:
-            raise KeyError(f"no entry for {key}: {[row[0] for row in missing]}")
-    return wanted.join(table.select(key, *[f"top_{k}" for k in range(1, n + 1)]), key, "left")
+def lookup_recommendations(table: DataFrame, key: str, wanted, n: int, ignore_missing: bool = False) -> DataFrame:
+    """First ``n`` recommendations of the wanted customers or items."""
+    return keyed_lookup(table, key, wanted, [f"top_{k}" for k in range(1, n + 1)], ignore_missing)
 
 
 def describe_items(lines: DataFrame) -> DataFrame:
