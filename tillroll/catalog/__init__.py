@@ -4,7 +4,7 @@
 def load():
     """Import every area, which registers its queries."""
     from tillroll.catalog import (  # noqa: F401
-        cleaning, customers, forecast, metrics, predictor, profile, recommend, registry, series,
+        cleaning, customers, forecast, metrics, predictor, profile, recommend, registry, series, storage,
     )
 
     return registry
