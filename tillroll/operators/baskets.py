@@ -2,7 +2,7 @@
 
 Item pairs are the result asked for here, so their number cannot be avoided, but no
 basket is expanded in one piece: a basket is cut into slices of bounded size, pairs are
-formed between slices, and slice pairs of large baskets are spread over the cluster
+formed between slices, and the slice pairs of a large basket are spread over the cluster
 before they are expanded. Counts are combined in the task before they are shuffled.
 """
 
@@ -48,27 +48,30 @@ def _slices(pairs: DataFrame, by: list[str], slice_items: int) -> DataFrame:
     )
 
 
+def _renamed(parts, carried, side):
+    return parts.select(*carried, F.col("slice").alias(f"{side}_slice"), F.col("items").alias(side))
+
+
 def co_purchases(pairs: DataFrame, by: Sequence[str] = (), slice_items: int = SLICE_ITEMS) -> DataFrame:
     """Customers who bought both items: (item, other, item_buyers, other_buyers, together), item < other."""
     by = list(by)
     slices = _slices(pairs, by, slice_items)
     carried = [*by, "customer_id"]
-    whole = slices.where("n_slices = 1").select(*carried, F.col("items").alias("left"), F.col("items").alias("right"))
-    parts = slices.where("n_slices > 1").select(*carried, "slice", "items")
-    crossed = (
-        parts.withColumnsRenamed({"items": "left", "slice": "left_slice"})
-        .join(parts.withColumnsRenamed({"items": "right", "slice": "right_slice"}), carried)
-        .where("left_slice <= right_slice")
-        .repartition(*carried, "left_slice", "right_slice")
+    whole = slices.where("n_slices = 1").select(F.col("items").alias("left"), F.col("items").alias("right"), *by)
+    parts = slices.where("n_slices > 1")
+    # pairs of slice numbers are tiny; the items join them by (customer, slice), so the work
+    # of one large basket is spread over as many keys as it has slices
+    numbers = (
+        parts.select(*carried, "n_slices")
+        .distinct()
+        .withColumn("left_slice", F.explode(F.expr("sequence(0, n_slices - 1)")))
+        .withColumn("right_slice", F.explode(F.expr("sequence(0, n_slices - 1)")))
+        .drop("n_slices")
     )
-    # two different slices meet once, so both orders of their items must be taken
-    both_ways = F.when(
-        F.col("left_slice") < F.col("right_slice"), F.array(F.lit(False), F.lit(True))
-    ).otherwise(F.array(F.lit(False)))
-    crossed = crossed.withColumn("swap", F.explode(both_ways)).select(
-        *carried,
-        F.when(F.col("swap"), F.col("right")).otherwise(F.col("left")).alias("left"),
-        F.when(F.col("swap"), F.col("left")).otherwise(F.col("right")).alias("right"),
+    crossed = (
+        numbers.join(_renamed(parts, carried, "left"), [*carried, "left_slice"])
+        .join(_renamed(parts, carried, "right"), [*carried, "right_slice"])
+        .select("left", "right", *by)
     )
     return (
         whole.unionByName(crossed)

@@ -70,23 +70,31 @@ def recommendation_scores(
     n_parts = max(1, math.ceil(n_items / members_per_row))
 
     block = F.pmod(F.xxhash64("item"), F.lit(n_blocks)).alias("block")
-    part = F.pmod(F.xxhash64("stock_code"), F.ceil(F.col("n_members") / F.lit(members_per_row)))
     sizes = F.count("*").over(Window.partitionBy(*by, "customer_id"))
-    rows = (
-        members.withColumn("n_members", sizes)
-        .groupBy(*by, "customer_id", part.alias("part"))
-        .agg(F.collect_list(F.struct("stock_code", "bought")).alias("members"))
+    sized = members.withColumn("n_rows", F.ceil(sizes / F.lit(members_per_row)))
+    row = F.pmod(F.xxhash64("stock_code"), F.col("n_rows")).alias("row")
+    rows = sized.groupBy(*by, "customer_id", "n_rows", row).agg(
+        F.collect_list(F.struct("stock_code", "bought")).alias("members")
     )
     wanted = (
-        members.where(~F.col("bought"))
+        sized.where(~F.col("bought"))
         .withColumnRenamed("stock_code", "item")
-        .groupBy(*by, "customer_id", block)
+        .groupBy(*by, "customer_id", "n_rows", block)
         .agg(F.collect_list("item").alias("candidates"))
     )
-    salt = F.pmod(F.xxhash64("customer_id"), F.lit(n_salts)).alias("salt")
-    customers = wanted.join(rows, [*by, "customer_id"]).select(
-        *by, "block", salt, "customer_id", "candidates", "members"
+    # most customers have one row of members; for the others the product of blocks and
+    # rows is spread by (customer, block) and then by (customer, row)
+    same = [*by, "customer_id", "n_rows"]
+    few = wanted.where("n_rows = 1").join(rows.where("n_rows = 1").drop("row"), same)
+    many = (
+        wanted.where("n_rows > 1")
+        .repartition(*by, "customer_id", "block")
+        .withColumn("row", F.explode(F.expr("sequence(0L, n_rows - 1)")))
+        .join(rows.where("n_rows > 1"), [*same, "row"])
+        .drop("row")
     )
+    salt = F.pmod(F.xxhash64("customer_id"), F.lit(n_salts)).alias("salt")
+    customers = few.unionByName(many).select(*by, "block", salt, "customer_id", "candidates", "members")
     copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_salts - 1).cast("long"))).alias("salt")
     adjacency = (
         edges.groupBy(*by, "item", F.pmod(F.xxhash64("neighbor"), F.lit(n_parts)).alias("part"))
