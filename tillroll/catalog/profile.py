@@ -150,7 +150,8 @@ centered AS (SELECT series_id, row_number() OVER (PARTITION BY series_id ORDER B
                     d - avg(d) OVER (PARTITION BY series_id) AS x FROM steps WHERE d IS NOT NULL),
 spread AS (SELECT series_id, sum(x * x) AS s0 FROM centered GROUP BY series_id)""",
     )
-    + """SELECT a.series_id, CAST(b.t - a.t AS INTEGER) AS lag, round(sum(a.x * b.x) / any_value(s0), 6) AS acf
+    + """SELECT a.series_id, CAST(b.t - a.t AS INTEGER) AS lag, CASE WHEN abs(sum(a.x * b.x) / any_value(s0)) < 5e-7 THEN 0.0::DOUBLE
+  ELSE round(sum(a.x * b.x) / any_value(s0), 6) END AS acf
 FROM centered a JOIN centered b ON b.series_id = a.series_id AND b.t BETWEEN a.t AND a.t + 51
   JOIN spread s ON s.series_id = a.series_id
 GROUP BY a.series_id, b.t - a.t""",
