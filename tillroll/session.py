@@ -43,6 +43,11 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[application].name
 
 
+def new_path(spark: SparkSession, kind: str = "settled") -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Store a table that several steps read, and go on from the stored copy.
 
@@ -50,6 +55,45 @@ def settle(df: DataFrame) -> DataFrame:
     not compute it again. Unlike a cached table it keeps sizes and column pruning.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a stored table through Spark's own file systems."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scratch:
+    """Settled tables of an iteration, removed as soon as the next one has been stored.
+
+    `with Scratch(spark) as scratch:` removes what is left at the end, so the result has to
+    be settled outside of it.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths = {}
+
+    def settle(self, df: DataFrame) -> DataFrame:
+        path = new_path(self.spark, "scratch")
+        df.write.parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(stored)] = (path, stored)
+        return stored
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            path, _ = self.paths.pop(id(table), (None, None))
+            if path:
+                remove_path(self.spark, path)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        for path, _ in self.paths.values():
+            remove_path(self.spark, path)
+        self.paths = {}
