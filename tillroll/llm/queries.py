@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillroll.llm import tokens
+from tillroll.llm import chat, mixing, tokens
 
 QUERIES = {}
 ORACLES = {}
@@ -30,3 +30,37 @@ def token_counts(spark, sf_dir, vocabulary="word_bpe_49k.json", limit=2048):
         "doc_id", tokens.text_bytes(F.col("text")).alias("n_bytes"), count(F.col("text")).alias("n_tokens")
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+
+
+CHAT_SQL = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), walked AS (
+  SELECT *, coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text), '') AS before FROM said
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  sum(length(regexp_replace(role || text, '[\\<>]', 'xx', 'g')) + 16)::BIGINT AS formatted_chars,
+  bool_and(CASE role WHEN 'system' THEN before = '' WHEN 'user' THEN before IN ('', 'system', 'assistant')
+           WHEN 'assistant' THEN before = 'user' ELSE false END) AS valid
+FROM walked GROUP BY conv_id
+"""
+
+
+@query("op10_chat_format", CHAT_SQL)
+def chat_format(spark, sf_dir):
+    said = r"\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return chat.read_conversations(chat.format_conversations(rows))
+
+
+@query("op4_source_mix")
+def source_mix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    placed = mixing.mix_sizes(docs)
+    return placed.select("doc_id", "size", "source_size", "target", "taken", "position").orderBy("position", "doc_id")
