@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, mixing, tokens
+from tillroll.llm import chat, mixing, tokens, warc
+from tillroll.session import new_path
 
 QUERIES = {}
 ORACLES = {}
@@ -64,3 +65,17 @@ def source_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     placed = mixing.mix_sizes(docs)
     return placed.select("doc_id", "size", "source_size", "target", "taken", "position").orderBy("position", "doc_id")
+
+
+@query("op1_warc_round_trip")
+def warc_round_trip(spark, sf_dir, min_bytes=0):
+    path = new_path(spark, "settled") + ".warc.gz.d"
+    warc.write_archive(warc.plan_records(table(spark, sf_dir, "pages"), min_bytes), path)
+    records = warc.read_archive(spark, path)
+    return records.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
