@@ -10,7 +10,8 @@ its range if need be. A piece is the start of a record if it decodes to a WARC h
 record is not complete, pieces that follow belong to it (the magic occurred inside its data). A
 record belongs to the task in whose range it starts. If such a false start lies at a range's
 border, the rest of the record is in the next task; both report their fragments, which are joined
-by file. Memory holds one record.
+by file. Memory holds one record. (Not decidable from a range alone: a record that stores a whole
+compressed archive uncompressed, with a border inside. This writer deflates, and text has no magic.)
 
 Null payloads are empty. Ids are strings in the record header, null ids are left out and read as
 null. Repeated rows give records of their own. An empty table gives an empty archive.
