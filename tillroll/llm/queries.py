@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, mixing, tokens, warc
+from tillroll.llm import chat, minhash, mixing, tokens, warc
 from tillroll.session import new_path
 
 QUERIES = {}
@@ -79,3 +79,8 @@ def warc_round_trip(spark, sf_dir, min_bytes=0):
         "record_type",
         F.col("refers_to").cast("long").alias("refers_to"),
     )
+
+
+@query("op9_minhash_groups")
+def minhash_groups(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
