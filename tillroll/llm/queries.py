@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, minhash, mixing, tokens, warc
+from tillroll.llm import chat, minhash, mixing, pii, quality, tokens, warc
 from tillroll.session import new_path
 
 QUERIES = {}
@@ -84,3 +84,16 @@ def warc_round_trip(spark, sf_dir, min_bytes=0):
 @query("op9_minhash_groups")
 def minhash_groups(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality_rules")
+def quality_rules(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_personal_data")
+def personal_data(spark, sf_dir):
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    counts = [pii.counted(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    digest = F.sha2(pii.written(F.col("base")), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
