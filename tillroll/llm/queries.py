@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, minhash, mixing, pii, quality, tokens, warc
+from tillroll.llm import chat, decontaminate, minhash, mixing, pii, quality, tokens, toxicity, warc
 from tillroll.session import new_path
 
 QUERIES = {}
@@ -97,3 +97,18 @@ def personal_data(spark, sf_dir):
     counts = [pii.counted(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
     digest = F.sha2(pii.written(F.col("base")), 256)
     return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
+@query("op6_toxicity")
+def toxicity_scores(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    score = toxicity.scorer(spark, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op7_benchmark_leaks")
+def benchmark_leaks(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    leaked = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return leaked.select("doc_id", F.col("leaked_items").alias("item_ids"), (F.size("leaked_items") > 0).alias("contaminated"))
