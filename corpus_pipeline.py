@@ -1,11 +1,67 @@
-"""Stages that prepare the documents for training."""
+"""Stages that prepare the documents for training, in order.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before it kept. Its
+result is written as Parquet in the shared folder and read again as the next one's input, so a
+lost executor costs a re-read. Empty inputs pass as empty tables; null and empty texts are clean.
+"""
+
+from pyspark.sql import functions as F
+
+from tillroll.llm import decontaminate, minhash, mixing, pii, toxicity
+from tillroll.session import settle
+
+#: The first stages return these columns.
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents whose score is below one half; the network is fitted on labelled rows of docs."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    score = toxicity.scorer(spark, toxicity.fit(docs, labels))
+    return docs.withColumn("_score", score(F.col("text"))).where("_score < 0.5").drop("_score")
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """One document of each near-duplicate group, that of least doc_id.
+
+    Repeated rows of it are one document: of them the first by content stays.
+    """
+    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    known = docs.where("doc_id IS NOT NULL").join(kept, "doc_id").dropDuplicates(["doc_id", "text"])
+    return known.unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
+
+
+def drop_benchmark_leaks(spark, docs, sf_dir):
+    """Documents that leak no benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.find_leaks(docs, benchmark).where(F.size("leaked_items") == 0).drop("leaked_items")
+
+
+def mask_personal_data(spark, docs, sf_dir):
+    """Every document, personal data replaced by the name of its kind in brackets; n_chars follows."""
+    masked = pii.mask(docs)
+    return masked.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
+
+
+def mix_sources(spark, docs, sf_dir):
+    """The documents of the mix, with the words taken of each, range-sorted by training position."""
+    return mixing.in_training_order(mixing.mix(docs))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("benchmark_decontamination", drop_benchmark_leaks),
+    ("personal_data", mask_personal_data),
+    ("source_mix", mix_sources),
+]
+
+#: SQL cannot express the fitted stages; tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = settle(stage(spark, docs, sf_dir))
     return docs

@@ -94,21 +94,24 @@ def _candidates(text: Column, kind: str, pattern: str, place: int, rule: str, po
 
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id and the sorted candidate spans of each row."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "text", F.regexp_replace("text", r"[\x20-](?![0-9])", "_").alias("masked"))
+    return docs.select("doc_id", candidates_of(F.col("text")).alias("found"))
+
+
+def candidates_of(text: Column) -> Column:
+    """The sorted candidate spans of a text."""
 
     def long_enough(m):
         return F.char_length(digits(m["hit"])) >= 9
 
-    text = F.col("text")
+    text = F.coalesce(text, F.lit(""))
     found = F.concat(
         _candidates(text, "email", EMAIL, 0, "email"),
         _candidates(text, "ip", IP, 1, "ip"),
-        _candidates(F.col("masked"), "card", CARD, 2, "card", long_enough),
+        _candidates(F.regexp_replace(text, r"[\x20-](?![0-9])", "_"), "card", CARD, 2, "card", long_enough),
         _candidates(text, "phone", PHONE, 3, "phone"),
         _candidates(text, "phone", NATIONAL, 3, "national"),
     )
-    return rows.select("doc_id", F.sort_array(found).alias("found"))
+    return F.sort_array(found)
 
 
 def reliabilities(patterns: list) -> list:
@@ -168,7 +171,10 @@ def classifiers(found: DataFrame) -> dict:
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, base and spans (arrays of s, kind, e; base spans, and with the added ones) of each row."""
-    found = settle(candidates(docs))
+    return _decided(settle(candidates(docs)))
+
+
+def _decided(found: DataFrame) -> DataFrame:
     learned = classifiers(found)
 
     def accepted(c):
@@ -189,7 +195,32 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
         return ~F.exists("base", lambda b: (b["kind"] == c["kind"]) & (b["s"] < c["e"]) & (c["s"] < b["e"]))
 
     added = F.transform(F.filter("found", lambda c: ~c["base"] & accepted(c) & free(c)), span)
-    return rows.select("doc_id", "base", F.sort_array(F.array_distinct(F.concat("base", added))).alias("spans"))
+    return rows.withColumn("spans", F.sort_array(F.array_distinct(F.concat("base", added)))).drop("found")
+
+
+def mask(docs: DataFrame) -> DataFrame:
+    """docs with each span replaced by its kind in brackets; overlapping spans become one mask.
+
+    All columns and rows stay; a null text stays null.
+    """
+    rows = settle(docs.select(F.struct(*docs.columns).alias("row"), candidates_of(F.col("text")).alias("found")))
+    rows = _decided(rows)
+    names = F.array(*[F.lit(f"[{kind}]") for kind in KINDS])
+    text = F.col("row.text")
+
+    def step(state, c):
+        before = F.substring(text, state["at"] + 1, F.greatest(F.lit(0), c["s"] - state["at"]))
+        fresh = c["s"] >= state["at"]
+        out = F.when(fresh, F.concat(state["out"], F.array(before, F.get(names, c["kind"])))).otherwise(state["out"])
+        return F.struct(F.greatest(state["at"], c["e"]).alias("at"), out.alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    end = F.lit(2**31 - 1)
+    masked = F.aggregate("spans", start, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, end)))
+    changed = F.when(F.size("spans") > 0, masked).otherwise(text)
+    return rows.select("row", changed.alias("_masked")).select(
+        *[F.col("_masked").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+    )
 
 
 def written(spans: Column) -> Column:

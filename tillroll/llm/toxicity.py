@@ -15,6 +15,7 @@ both labels counts as toxic. Without any labels all scores are the initial ones.
 """
 
 import math
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,11 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.arrow import over_texts
 
-#: Labelled documents and characters of text the network is fitted on, at most (about 30 MB).
-SAMPLE = 5000
+#: Labelled documents, whole, that the network is fitted on at most.
+SAMPLE = 2500
 WINDOW, STEP = 48, 24
 WORDS, TRIGRAMS, HIDDEN = 1 << 14, 1 << 12, 8
-ROUNDS, BATCH, RATE, DECAY = 6, 128, 0.01, 1e-4
+ROUNDS, BATCH, RATE, DECAY = 5, 64, 0.015, 1e-3
 #: Windows computed at a time; words a worker remembers.
 WIDTH, REMEMBERED = 512, 150_000
 _find = regex.compile(r"[^\x20\x09-\x0D]+").findall
@@ -70,8 +71,12 @@ class Network:
     def inputs(self, found):
         """Gate inputs of words, from their features."""
         rows = np.empty((len(found), 6 * HIDDEN), np.float32)
-        for i, (word, grams) in enumerate(found):
-            rows[i] = self.p["word"][word] + self.p["gram"][grams].mean(axis=0)
+        for at in range(0, len(found), 2048):
+            part = found[at : at + 2048]
+            sizes = np.array([len(grams) for _, grams in part])
+            flat = np.fromiter(chain.from_iterable(grams for _, grams in part), np.int64, sizes.sum())
+            total = np.add.reduceat(self.p["gram"][flat], np.cumsum(sizes) - sizes, axis=0)
+            rows[at : at + 2048] = self.p["word"][[word for word, _ in part]] + total / sizes[:, None]
         return rows + self.p["bias"]
 
     def forward(self, x, mask, keep=False):
@@ -214,7 +219,6 @@ def train(texts, toxic, rounds=ROUNDS, seed=5) -> Network:
     totals = [(toxic == k).sum() + 1 for k in (0, 1)]
     odds = np.log((seen[1] + 0.5) / totals[1]) - np.log((seen[0] + 0.5) / totals[0])
     odds = np.where(seen.sum(axis=0) >= 3, odds, 0)[word_of]
-    weight = np.where(toxic == 1, min(4.0, max(1.0, (toxic == 0).sum() / max(1, (toxic == 1).sum())) ** 0.5), 1.0).astype(np.float32)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.p.items()}
     step = 0
     for turn in range(rounds):
@@ -249,7 +253,7 @@ def train(texts, toxic, rounds=ROUNDS, seed=5) -> Network:
             used, place = np.unique(ids, return_inverse=True)
             x = network.inputs([found[i] for i in used])[place.reshape(ids.shape)]
             kept = network.forward(x, mask, keep=True)
-            error = ((sigmoid(kept[0]) - toxic[owners]) * weight[owners] / len(part)).astype(np.float32)
+            error = ((sigmoid(kept[0]) - toxic[owners]) / len(part)).astype(np.float32)
             slopes, d_x = network.gradients(x, mask, error, kept)
             d_used = np.zeros((len(used), 6 * HIDDEN), np.float32)
             np.add.at(d_used, place.ravel(), (d_x * mask[:, :, None]).reshape(-1, 6 * HIDDEN))
@@ -289,7 +293,7 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
     known = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     known = known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select("doc_id", F.left("text", F.lit(6000)).alias("text"))
+    texts = docs.select("doc_id", "text")
     rows = texts.join(F.broadcast(known), "doc_id").distinct().orderBy("doc_id", "text").limit(sample).collect()
     return train([r["text"] for r in rows], [r["_toxic"] for r in rows])
 
