@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, decontaminate, minhash, mixing, pii, quality, tokens, toxicity, warc
+from tillroll.llm import chat, decontaminate, html, minhash, mixing, pii, quality, tokens, toxicity, warc
 from tillroll.session import new_path
 
 QUERIES = {}
@@ -112,3 +112,11 @@ def benchmark_leaks(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     leaked = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
     return leaked.select("doc_id", F.col("leaked_items").alias("item_ids"), (F.size("leaked_items") > 0).alias("contaminated"))
+
+
+@query("op5_main_text")
+def main_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    extract = html.extractor(spark, html.fit(pages))
+    found = pages.select("page_id", "url", extract(F.col("html")).alias("text"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))

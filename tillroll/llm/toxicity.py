@@ -30,7 +30,7 @@ from tillroll.llm.arrow import over_texts
 SAMPLE = 2500
 WINDOW, STEP = 48, 24
 WORDS, TRIGRAMS, HIDDEN = 1 << 14, 1 << 12, 8
-ROUNDS, BATCH, RATE, DECAY = 5, 64, 0.015, 1e-3
+ROUNDS, BATCH, RATE, DECAY = 5, 64, 0.015, 4e-4
 #: Windows computed at a time; words a worker remembers.
 WIDTH, REMEMBERED = 512, 150_000
 _find = regex.compile(r"[^\x20\x09-\x0D]+").findall
@@ -262,27 +262,27 @@ def train(texts, toxic, rounds=ROUNDS, seed=5) -> Network:
             rows, inverse = np.unique(word_of[used], return_inverse=True)
             grown = np.zeros((len(rows), 6 * HIDDEN), np.float32)
             np.add.at(grown, inverse, d_used)
-            _adam(network, moments, "word", grown, step, rows)
+            adam(network, moments, "word", grown, step, rows)
             spans = [np.arange(starts[i], starts[i + 1]) for i in used]
             flat = np.concatenate(spans)
             back = np.repeat(np.arange(len(used)), [len(s) for s in spans])
             rows, inverse = np.unique(gram_of[flat], return_inverse=True)
             grown = np.zeros((len(rows), 6 * HIDDEN), np.float32)
             np.add.at(grown, inverse, d_used[back] * gram_share[flat][:, None].astype(np.float32))
-            _adam(network, moments, "gram", grown, step, rows)
+            adam(network, moments, "gram", grown, step, rows)
             for name, slope in slopes.items():
-                _adam(network, moments, name, slope, step)
+                adam(network, moments, name, slope, step)
     return network
 
 
-def _adam(network, moments, name, slope, step, rows=slice(None)):
+def adam(network, moments, name, slope, step, rows=slice(None), rate=RATE):
     first, second = moments[name]
     values = network.p[name]
     slope = slope + DECAY * values[rows] * (name in ("word", "gram"))
     first[rows] = 0.9 * first[rows] + 0.1 * slope
     second[rows] = 0.99 * second[rows] + 0.01 * slope**2
     size = math.sqrt(1 - 0.99**step) / (1 - 0.9**step)
-    values[rows] -= RATE * size * first[rows] / (np.sqrt(second[rows]) + 1e-6)
+    values[rows] -= rate * size * first[rows] / (np.sqrt(second[rows]) + 1e-6)
 
 
 def held_out(doc_id: Column) -> Column:
