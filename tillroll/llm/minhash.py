@@ -17,7 +17,6 @@ class. A null doc_id is a document without a number; its component is that of it
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,16 +32,14 @@ AGREEING = 0.55
 #: Classes of a bucket that are compared with each other in one step.
 BLOCK = 256
 #: Words a worker remembers; shingles that are hashed at a time.
-REMEMBERED, CHUNK = 400_000, 4096
+REMEMBERED, CHUNK = 400_000, 512
 
 _ROWS = HASHES // BANDS
 _random = np.random.default_rng(20240229)
-_A = _random.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _random.integers(0, 2**63, HASHES, dtype=np.uint64)
+_A = (_random.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+_B = _random.integers(0, 2**32, HASHES, dtype=np.uint32)[:, None]
 _POWERS = _random.integers(0, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = _random.integers(0, 2**63, 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-_WORDS = regex.compile(r"[^\x20\x09-\x0D]+").findall
 
 SKETCH = "struct<n:bigint,key:binary,minima:binary,bands:array<bigint>>"
 _SKETCH = pa.struct([("n", pa.int64()), ("key", pa.binary()), ("minima", pa.binary()), ("bands", pa.list_(pa.int64()))])
@@ -52,7 +49,9 @@ class _Words(dict):
     def __missing__(self, word):
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word.encode())
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:  # long words hardly come again
+            self[word] = value
         return value
 
 
@@ -66,8 +65,12 @@ def _mixed(values):
 
 
 def shingle_set(text) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
-    words = _WORDS(text.translate(_LOWER)) if text else []
+    """Sorted distinct shingle hashes of a text, a string or its UTF-8 bytes.
+
+    On bytes, lower() changes A-Z alone, and split() parts at 0x20 and 0x09-0x0D.
+    """
+    raw = text.encode() if isinstance(text, str) else text
+    words = raw.lower().split() if raw else []
     if not words:
         return np.empty(0, np.uint64)
     hashed = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
@@ -79,10 +82,12 @@ def shingle_set(text) -> np.ndarray:
 
 
 def minima_of(shingles: np.ndarray) -> np.ndarray:
+    high = (shingles >> np.uint64(32)).astype(np.uint32)
     least = np.full(HASHES, 2**32 - 1, np.uint32)
-    for at in range(0, len(shingles), CHUNK):
-        hashed = (_A[:, None] * shingles[None, at : at + CHUNK] + _B[:, None]) >> np.uint64(32)
-        least = np.minimum(least, hashed.min(axis=1).astype(np.uint32))
+    for at in range(0, len(high), CHUNK):
+        hashed = _A * high[at : at + CHUNK]
+        hashed += _B
+        np.minimum(least, hashed.min(axis=1), out=least)
     return least
 
 
@@ -100,7 +105,7 @@ def sketch(text):
 
 
 def sketches(text):
-    return over_texts(SKETCH, _SKETCH, lambda: lambda texts: [sketch(t) for t in texts])(text)
+    return over_texts(SKETCH, _SKETCH, lambda: lambda texts: [sketch(t) for t in texts], raw=True)(text)
 
 
 def similar(left, right, percent: int = 75) -> bool:
@@ -116,7 +121,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = 75) -> DataFrame:
         last, known = None, None
         for batch in batches:
             kept = []
-            lefts, rights = batch.column(2), batch.column(3)
+            lefts, rights = batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary())
             for i in range(batch.num_rows):
                 left = lefts[i].as_py()
                 if left != last:
@@ -173,21 +178,23 @@ def components(spark, links: DataFrame) -> DataFrame:
         return settle(edges.select(F.col("u").alias("key"), F.col("v").alias("root")))
 
 
-def _across(frame):
-    """Pairs of a bucket's blocks that lie in different components and agree on enough minima."""
-    frame = frame.drop_duplicates("key")
+def _across(frame, percent):
+    """Pairs of a bucket's blocks in different components whose sizes allow a link and that agree on enough minima."""
+    frame = frame.drop_duplicates("key").assign(root=lambda f: pd.factorize(f["root"])[0])
     low, high = frame["lo"].iloc[0], frame["hi"].iloc[0]
     lefts, rights = frame[frame["block"] == low], frame[frame["block"] == high]
     if not len(lefts) or not len(rights):
         return pd.DataFrame({"a": [], "b": []}, dtype=object)
     minima = np.stack([np.frombuffer(m, np.uint16) for m in rights["minima"]])
-    keys, roots = rights["key"].to_numpy(), rights["root"].to_numpy()
+    keys, roots, sizes = rights["key"].to_numpy(), rights["root"].to_numpy(), rights["n"].to_numpy()
     out = []
-    for key, root, own in zip(lefts["key"], lefts["root"], lefts["minima"]):
-        good = (minima == np.frombuffer(own, np.uint16)).mean(axis=1) >= AGREEING
-        for i in np.flatnonzero(good):
-            if roots[i] != root and (low != high or key < keys[i]):
-                out.append((min(key, keys[i]), max(key, keys[i])))
+    for at, (key, root, n, own) in enumerate(zip(lefts["key"], lefts["root"], lefts["n"], lefts["minima"])):
+        wanted = (roots != root) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+        if low == high:
+            wanted[: at + 1] = False
+        places = np.flatnonzero(wanted)
+        same = np.count_nonzero(minima[places] == np.frombuffer(own, np.uint16), axis=1)
+        out += [(min(key, keys[i]), max(key, keys[i])) for i in places[same >= AGREEING * HASHES]]
     return pd.DataFrame(out, columns=["a", "b"])
 
 
@@ -200,16 +207,17 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
     classes = settle(
         drawn.where("n > 0").groupBy("key").agg(
-            F.min(F.struct("doc_id", "content")).alias("first"), F.min("minima").alias("minima"), F.any_value("bands").alias("bands")
+            F.min(F.struct("doc_id", "content")).alias("first"), F.min("minima").alias("minima"), F.any_value("bands").alias("bands"), F.min("n").alias("n")
         )
     )
     # buckets of several classes, each with its smallest class
     rows = classes.select("key", F.explode("bands").alias("bucket"))
     members = settle(with_group_min(rows, "bucket", "key", "centre", spread="key").where("key != centre"))
-    minima = classes.select("key", "minima")
+    minima = classes.select("key", "minima", "n")
     pairs = members.select(F.col("centre").alias("a"), F.col("key").alias("b")).distinct()
-    pairs = pairs.join(minima.select(F.col("key").alias("a"), F.col("minima").alias("left")), "a")
-    pairs = pairs.join(minima.select(F.col("key").alias("b"), F.col("minima").alias("right")), "b")
+    pairs = pairs.join(minima.select(F.col("key").alias("a"), F.col("minima").alias("left"), F.col("n").alias("n_a")), "a")
+    pairs = pairs.join(minima.select(F.col("key").alias("b"), F.col("minima").alias("right"), F.col("n").alias("n_b")), "b")
+    pairs = pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     pairs = settle(pairs.where(_agree(F.col("left"), F.col("right"))).select("a", "b"))
     links = settle(confirm(pairs, texts_of(base, classes, pairs), percent))
     roots = components(spark, links)
@@ -227,8 +235,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     rest = rest.join(sizes, "bucket").join(minima, "key").withColumn("blocks", blocks).where("size > 1")
     rest = rest.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     dealt = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", "key", "root", "minima", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    more = settle(dealt.groupBy("bucket", "lo", "hi").applyInPandas(_across, "a binary, b binary").distinct())
+    dealt = dealt.select("bucket", "key", "root", "n", "minima", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    more = settle(dealt.groupBy("bucket", "lo", "hi").applyInPandas(lambda frame: _across(frame, percent), "a binary, b binary").distinct())
     if not more.isEmpty():
         found = confirm(more, texts_of(base, classes, more), percent)
         roots = components(spark, links.unionByName(found))
