@@ -33,6 +33,8 @@ AGREEING = 0.55
 BLOCK = 256
 #: Words a worker remembers; shingles that are hashed at a time.
 REMEMBERED, CHUNK = 400_000, 512
+#: Shingles of the sets that a task remembers while it compares pairs (8 bytes each).
+SETS = 4_000_000
 
 _ROWS = HASHES // BANDS
 _random = np.random.default_rng(20240229)
@@ -110,7 +112,11 @@ def sketches(text):
 
 def similar(left, right, percent: int = 75) -> bool:
     """Whether two full sets overlap enough."""
-    both = len(np.intersect1d(left, right, assume_unique=True))
+    few, many = sorted((left, right), key=len)
+    both = 0
+    if len(few):
+        places = np.searchsorted(many, few)
+        both = int(np.count_nonzero(many[np.minimum(places, len(many) - 1)] == few))
     return 100 * both >= percent * (len(left) + len(right) - both)
 
 
@@ -118,15 +124,22 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = 75) -> DataFrame:
     """Of pairs (a, b) of classes, those whose texts' full sets are similar. texts: key, text."""
 
     def check(batches):
-        last, known = None, None
+        known, held = {}, 0
+
+        def set_of(key, text):
+            nonlocal held
+            if key not in known:
+                if held > SETS:
+                    known.clear()
+                    held = 0
+                known[key] = shingle_set(text.as_py())
+                held += len(known[key]) + 64
+            return known[key]
+
         for batch in batches:
-            kept = []
-            lefts, rights = batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary())
-            for i in range(batch.num_rows):
-                left = lefts[i].as_py()
-                if left != last:
-                    last, known = left, shingle_set(left)
-                kept.append(similar(known, shingle_set(rights[i].as_py()), percent))
+            keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            texts = batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary())
+            kept = [similar(set_of(a, left), set_of(b, right), percent) for a, b, left, right in zip(*keys, *texts)]
             yield batch.filter(pa.array(kept, pa.bool_())).select([0, 1])
 
     sides = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("right")), "b")
