@@ -31,8 +31,8 @@ HASHES, BANDS = 128, 32
 AGREEING = 0.55
 #: Classes of a bucket that are compared with each other in one step.
 BLOCK = 256
-#: Words a worker remembers; shingles that are hashed at a time.
-REMEMBERED, CHUNK = 400_000, 512
+#: Shingles that are hashed at a time.
+CHUNK = 512
 #: Shingles of the sets that a task remembers while it compares pairs (8 bytes each).
 SETS = 4_000_000
 
@@ -47,19 +47,6 @@ SKETCH = "struct<n:bigint,key:binary,minima:binary,bands:array<bigint>>"
 _SKETCH = pa.struct([("n", pa.int64()), ("key", pa.binary()), ("minima", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
-class _Words(dict):
-    def __missing__(self, word):
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:  # long words hardly come again
-            self[word] = value
-        return value
-
-
-_words = _Words()
-
-
 def _mixed(values):
     values = values ^ (values >> np.uint64(31))
     values = values * _MIX[0]
@@ -75,12 +62,13 @@ def shingle_set(text) -> np.ndarray:
     words = raw.lower().split() if raw else []
     if not words:
         return np.empty(0, np.uint64)
-    hashed = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     width = min(SHINGLE, len(words))
     total = np.full(len(words) - width + 1, width, np.uint64)
     for i in range(width):
         total += hashed[i : i + len(total)] * _POWERS[i]
-    return np.unique(_mixed(total))
+    total = np.sort(_mixed(total))
+    return total[np.concatenate(([True], total[1:] != total[:-1]))]
 
 
 def minima_of(shingles: np.ndarray) -> np.ndarray:
