@@ -51,3 +51,22 @@ def test_planted_items_are_found_and_clean_rows_left(spark):
     none = d.find_leaks(spark.createDataFrame(rows[:5], SCHEMA), bench.where("false")).collect()
     assert all(list(r.leaked_items) == [] for r in none) and len(none) == 5
     assert d.find_leaks(spark.createDataFrame([], SCHEMA), bench).count() == 0
+
+
+def test_changed_and_cut_copies_are_found(spark):
+    """Prose without a question mark is one part, whatever its last sentence; question and answer stay two."""
+    body = [f"a{i}" for i in range(40)]
+    asked = [f"q{i}" for i in range(20)]
+    bench = [
+        (1, " ".join(body[:20]) + ". " + " ".join(body[20:36]) + ". " + " ".join(body[36:]) + "."),
+        (2, " ".join(asked) + "? yes indeed"), (3, "Whither, o splendid ship, thy white sails crowding?"),
+    ]
+    rows, want = [], {}
+    for k in range(40):
+        rows.append((k, " ".join([*body[:k], "changed", *body[k + 1 :]]), "x"))
+        want[k] = [1]
+    rows += [(50, " ".join(body[:36]), "x"), (51, " ".join(body[:24]), "x"), (52, " ".join(asked), "x")]
+    rows += [(53, " ".join(asked) + " yes indeed", "x"), (54, "o splendid ship thy white sails crowding", "x")]
+    want |= {50: [1], 53: [2], 54: [3]}
+    found = d.find_leaks(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {r.doc_id: list(r.leaked_items) for r in found if r.leaked_items} == want

@@ -5,8 +5,9 @@ Each passage is a query: block-max WAND retrieves all items whose score is above
 A score is BM25 over the item's own (its score for itself), so 1 is a full match. An item counts
 as leaked if the passage then has enough word shingles of its question and of its answer.
 
-An item's answer is what follows its last question mark, else its last sentence; an item of one
-sentence has no answer. Items without words never match; null and empty texts match nothing.
+An item's answer is what follows its last question mark; an item without a question mark, or with
+words on one side of it only, is checked as one part. Items without words never match; null and
+empty texts match nothing.
 Repeated items and rows are each reported. Items travel to the tasks in blocks of bounded size;
 document frequencies are those of a block. Without items nothing is contaminated.
 """
@@ -41,11 +42,10 @@ def shingles(words) -> set:
 
 
 def question_and_answer(text: str):
-    before, mark, after = text.rpartition("?")
-    if mark and words_of(after):
-        return words_of(before), words_of(after)
-    sentences = [s for s in map(words_of, regex.split(r"(?<=[.!?])\s+", text)) if s]
-    return ([w for s in sentences[:-1] for w in s], sentences[-1]) if len(sentences) > 1 else (words_of(text), [])
+    """Words before and after the last question mark; all words and no answer if one of them has none."""
+    before, _, after = text.rpartition("?")
+    question, answer = words_of(before), words_of(after)
+    return (question, answer) if question and answer else (words_of(text), [])
 
 
 class Index:
