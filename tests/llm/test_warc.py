@@ -103,3 +103,33 @@ def test_empty(spark):
     path = new_path(spark)
     warc.write_archive(warc.plan_records(spark.createDataFrame([], SCHEMA)), path)
     assert read(spark, path) == []
+
+
+@pytest.mark.parametrize("size", ["128m", "10", "25", "64", "200"])
+@pytest.mark.parametrize("extra", [warc.MAGIC, warc.MAGIC * 2, warc.MAGIC + b"\x1f\0\0" + warc.MAGIC + b"\x08"])
+def test_false_magic_before_the_header_decodes(spark, size, extra):
+    """The gzip header has an extra field, so the magic stands 20 bytes into the member, before its first block."""
+    members, want = [], {}
+    for i in range(6):
+        want[i] = payload = f"payload {i} ".encode() * (i + 1)
+        field = b"e" * 8 + extra + b"e" * i
+        text = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nContent-Length: {len(payload)}\r\n\r\n"
+        block = text.encode() + payload + b"\r\n\r\n"
+        packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+        data = packer.compress(block) + packer.flush()
+        head = warc.MAGIC + b"\x04" + b"\0" * 6 + len(field).to_bytes(2, "little") + field
+        assert head.index(warc.MAGIC, 1) == 20
+        members.append(head + data + zlib.crc32(block).to_bytes(4, "little") + len(block).to_bytes(4, "little"))
+    path = new_path(spark)
+    os.makedirs(path)
+    with open(f"{path}/part-0.txt", "wb") as file:
+        file.write(b"\0".join(members))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        rows = warc.read_archive(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert {int(r.record_id): bytes(r.payload) for r in rows} == want and len(rows) == 6

@@ -6,11 +6,13 @@ members, which gzip readers skip.
 
 Reading: files are cut into byte ranges by Spark. Its text source splits at the gzip magic bytes,
 so each task scans its own range for the magic and gets what follows up to the next one, beyond
-its range if need be. A piece is the start of a record if it decodes to a WARC header. While a
-record is not complete, pieces that follow belong to it (the magic occurred inside its data). A
-record belongs to the task in whose range it starts. If such a false start lies at a range's
-border, the rest of the record is in the next task; both report their fragments, which are joined
-by file. Memory holds one record. (Not decidable from a range alone: a record that stores a whole
+its range if need be. A piece is the start of a record if it decodes to a WARC header; a piece too
+short to tell is a candidate, and what follows is added to it until its header is confirmed or
+refuted. If it is refuted, the next piece is the candidate. While a record is not complete, pieces
+that follow belong to it (the magic occurred inside its data). A record belongs to the task in
+whose range it starts. If such a false start lies at a range's border, the rest of the record is in
+the next task; both report their fragments, which are joined by file in the order of the bytes.
+Memory holds one record. (Not decidable from a range alone: a record that stores a whole
 compressed archive uncompressed, with a border inside. This writer deflates, and text has no magic.)
 
 Null payloads are empty. Ids are strings in the record header, null ids are left out and read as
@@ -20,6 +22,7 @@ null. Repeated rows give records of their own. An empty table gives an empty arc
 import base64
 import hashlib
 import zlib
+from collections import deque
 from typing import Iterator
 
 import pyarrow as pa
@@ -33,11 +36,11 @@ MAGIC = b"\x1f\x8b\x08"
 VERSION = "WARC/1.1"
 
 RECORD = (
-    "complete boolean, file string, range long, last boolean, rest binary, record_type string, record_id string, "
+    "complete boolean, file string, range long, place long, opened boolean, rest binary, record_type string, record_id string, "
     "uri string, refers_to string, digest string, payload_bytes long, payload binary"
 )
-#: Bytes of a member that are decoded to see whether it begins with a WARC header.
-PROBE = 64
+#: What a record's decoded bytes begin with.
+BEGIN = b"WARC/"
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -101,12 +104,20 @@ def write_archive(planned: DataFrame, path: str) -> None:
     packed.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").text(path)
 
 
-def _start(piece: bytes) -> bool:
-    """Whether a piece that begins with the magic decodes to a WARC header."""
-    try:
-        return zlib.decompressobj(31).decompress(piece, PROBE).startswith(b"WARC/")
-    except zlib.error:
-        return False
+class _Probe:
+    """Decodes the first bytes of a candidate; says whether it is a record's start, or None while that is open."""
+
+    def __init__(self):
+        self.decoder, self.head = zlib.decompressobj(31), b""
+
+    def add(self, piece: bytes):
+        try:
+            self.head += self.decoder.decompress(piece, len(BEGIN) - len(self.head))
+        except zlib.error:
+            return False
+        if self.head == BEGIN:
+            return True
+        return None if BEGIN.startswith(self.head) and not self.decoder.eof else False
 
 
 def parse_block(block: bytes):
@@ -134,32 +145,59 @@ class _Range:
         self.file, self.offset = file, offset
         self.open = None  # decoder of the record that is not complete
         self.raw, self.block = [], []
+        self.probe, self.pending = None, []  # a candidate and the pieces after it, while its header is not decoded
         self.orphan = []
 
     def add(self, piece):
-        """Feed a piece; gives the row of a record that it completes."""
-        if self.open is None:
-            if not _start(piece):
-                self.orphan.append(piece)
-                return None
-            self.open, self.raw, self.block = zlib.decompressobj(31), [], []
+        """Feed a piece; gives the rows of the records that it completes."""
+        rows, waiting = [], deque([piece])
+        while waiting:
+            piece = waiting.popleft()
+            if self.open is not None:
+                rows.extend(self._continue(piece))
+                continue
+            if not self.pending:
+                self.probe = _Probe()
+            self.pending.append(piece)
+            begins = self.probe.add(piece)
+            if begins is None:
+                continue
+            if begins:
+                self.open, self.raw, self.block = zlib.decompressobj(31), [], []
+            else:
+                self.orphan.append(self.pending.pop(0))
+            waiting.extendleft(reversed(self.pending))
+            self.pending = []
+        return rows
+
+    def _continue(self, piece):
         try:
             self.block.append(self.open.decompress(piece))
         except zlib.error:  # a damaged member ends here; its bytes are no record
             self.open = None
-            return None
+            return
         self.raw.append(piece)
         if self.open.eof:
             self.open = None
-            return (True, self.file, self.offset, False, None, *parse_block(b"".join(self.block)))
-        return None
+            yield (True, self.file, self.offset, 0, False, None, *parse_block(b"".join(self.block)))
+
+    def skip(self):
+        """Give up the candidate, as nothing follows or what follows is not its own; gives rows like add."""
+        rows = []
+        while self.pending:
+            rest, self.pending = self.pending[1:], []
+            for piece in rest:
+                rows.extend(self.add(piece))
+        return rows
 
     def fragments(self):
+        """What is not decided here, in order: orphans, then a candidate's pieces or the begin of a record."""
         nothing = (None,) * 7
-        if self.orphan:
-            yield (False, self.file, self.offset, False, b"".join(self.orphan), *nothing)
+        parts = [*self.orphan, *self.pending]
+        for place, piece in enumerate(parts):
+            yield (False, self.file, self.offset, place, False, piece, *nothing)
         if self.open is not None:
-            yield (False, self.file, self.offset, True, b"".join(self.raw), *nothing)
+            yield (False, self.file, self.offset, len(parts), True, b"".join(self.raw), *nothing)
 
 
 def _batch(rows):
@@ -184,11 +222,9 @@ def scan_pieces(spark: SparkSession, path: str) -> DataFrame:
                         rows.extend(current.fragments())
                     current = _Range(*key)
                 piece = value.as_py()
-                if piece == b"" and key[1] == 0 and current.open is None and not current.orphan:
+                if piece == b"" and key[1] == 0 and current.open is None and not current.orphan and not current.pending:
                     continue  # before the first magic of a file
-                row = current.add(MAGIC + piece)
-                if row:
-                    rows.append(row)
+                rows.extend(current.add(MAGIC + piece))
                 if len(rows) >= 256:
                     yield _batch(rows)
                     rows = []
@@ -206,15 +242,14 @@ def _mend(frame):
     """Records of one file that borders cut, from its fragments (a false magic right at a border; very rare)."""
     import pandas as pd
 
-    done, current = [], None
-    for row in frame.sort_values(["range", "last"]).itertuples():
-        if row.last:
+    done, current = [], _Range(frame["file"].iloc[0], 0)
+    for row in frame.sort_values(["range", "place"]).itertuples():
+        if row.opened:  # known to be a start: what came before has ended
+            done.extend(current.skip())
             current = _Range(row.file, row.range)
-        if current is not None:
-            found = current.add(bytes(row.rest))
-            if found:
-                done.append(found)
-                current = None
+        done.extend(current.add(bytes(row.rest)))
+        current.orphan.clear()
+    done.extend(current.skip())
     return pd.DataFrame(done, columns=list(frame.columns))
 
 
