@@ -44,7 +44,7 @@ def mask_personal_data(spark, docs, sf_dir):
 
 
 def mix_sources(spark, docs, sf_dir):
-    """The documents of the mix, with the words taken of each, range-sorted by training position."""
+    """The documents of the mix, one row for each round that takes words of it, range-sorted by training position."""
     return mixing.in_training_order(mixing.mix(docs))
 
 

@@ -66,3 +66,24 @@ def test_schedule_is_inverted(spark):
 
 def test_empty(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_round_has_a_position(spark):
+    """A source mixed at three times its size is met along the whole schedule; all taken words are placed."""
+    data = [(i, ["big", "small"][i % 20 == 0], "w " * (3 + i % 5), "x") for i in range(400)] + [(7, "big", "", "x"), (8, "small", None, "x")]
+    mixed = mixing.mix(spark.createDataFrame(data, SCHEMA).drop("size"), weights=(1, 9), slopes=(0.0, 0.0)).cache()
+    docs = {r.doc_id: r for r in mixed.where("taken > 0").collect()}
+    occurrences = mixing.in_training_order(mixed).collect()
+    assert [r.position for r in occurrences] == sorted(r.position for r in occurrences)
+    assert sum(r.words for r in occurrences) == sum(r.taken for r in docs.values())
+    assert all(0 < r.words <= r["size"] for r in occurrences)
+    small = [r for r in occurrences if r.source == "small"]
+    assert len(small) == 60 and len({(r.doc_id, r["round"]) for r in small}) == 60
+    for k in range(3):
+        assert all(k / 3 < r.position < (k + 1) / 3 for r in small if r["round"] == k)
+    for source in ("big", "small"):  # with a flat schedule the words before a position are its share of the target
+        done = 0
+        for r in [r for r in occurrences if r.source == source]:
+            assert abs(r.position - (done + r.words / 2) / r.target) < 1e-9
+            done += r.words
+    assert all(r.position == r.positions[0] for r in docs.values())

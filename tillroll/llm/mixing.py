@@ -4,8 +4,9 @@ Each source has a weight, and a schedule that says how its weight moves over tra
 Its target is its share of all words, at most `most` times what it has; the excess goes to the
 other sources by weight until none is above. The schedule is integrated to the cumulative demand
 of the source; a document stands where the demand reaches the middle of its words, so inverting
-the integral gives its position. Documents of a source come in the order of md5(doc_id): whole
-rounds through the source, then a last part of a round that may cut one document.
+the integral gives its position, one for each round that takes it. Documents of a source come in
+the order of md5(doc_id): whole rounds through the source, then a last part of a round that may cut
+one document.
 
 Null texts have size 0 and are taken 0 times; a null source is a source of its own. Repeated rows
 each count. An empty table gives no rows. Reruns agree.
@@ -61,12 +62,16 @@ def source_targets(sources: DataFrame, most: float = 3.0) -> DataFrame:
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
-    """All columns of docs with size, source_size, target, taken and position; see mix_sizes."""
+    """All columns of docs with size, source_size, target, taken, position and positions; see mix_sizes."""
     return _attach(docs, mix_sizes(docs, **settings), [c for c in docs.columns if c not in ("doc_id", "source")])
 
 
 def mix_sizes(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, slopes=(-1.0, 0.0, 1.0)) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken and position (null if not taken) of each row.
+    """doc_id, source, size, source_size, target, taken, position and positions of each row.
+
+    positions has one entry for each round that takes words of the row, in order; position is the
+    first of them, null if nothing is taken. All entries but that of the last round, which may cut
+    the row, stand for the whole row.
 
     A source's weight at time t is its weight times 1 + slope * (t - 0.5); the slopes repeat like
     the weights and lie within -2..2, so weights stay positive and their integral over 0..1 is kept.
@@ -104,10 +109,21 @@ def mix_sizes(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, slopes=(-1.
     start = F.col("base") + F.col("within")
     last = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - start))
     placed = placed.withColumn("taken", (F.col("rounds") * F.col("size") + last).cast("long"))
-    # share of the source's demand that is met at the middle of the document's first round
-    share = F.least(F.lit(1.0), (start + F.least("size", "taken") / 2) / F.col("target"))
-    placed = placed.withColumn("position", F.when(F.col("taken") > 0, time_of(share, F.col("slope"))))
-    return placed.select("doc_id", "source", "size", "source_size", F.col("target").cast("double").alias("target"), "taken", "position")
+    # shares of the source's demand that are met at the middle of the document's words in each round
+    here = F.when(F.col("size") > 0, F.col("rounds") + (last > 0).cast("int")).otherwise(0).cast("int")
+    placed = placed.withColumn("_start", start).withColumn("_last", last).withColumn("_rounds", here)
+
+    def position(turn):
+        part = F.when(turn < F.col("rounds"), F.col("size")).otherwise(F.col("_last"))
+        share = (turn * F.col("source_size") + F.col("_start") + part / 2) / F.col("target")
+        return time_of(F.least(F.lit(1.0), share), F.col("slope"))
+
+    every = F.transform(F.sequence(F.lit(0), F.col("_rounds") - 1), position)
+    placed = placed.withColumn("positions", F.when(F.col("_rounds") > 0, every).otherwise(F.array().cast("array<double>")))
+    placed = placed.withColumn("position", F.get("positions", F.lit(0)))
+    return placed.select(
+        "doc_id", "source", "size", "source_size", F.col("target").cast("double").alias("target"), "taken", "position", "positions"
+    )
 
 
 def time_of(share, slope):
@@ -119,13 +135,13 @@ def time_of(share, slope):
 
 def _attach(docs, found, extra):
     """The other columns again, one row for each repeated row."""
-    taken = {"size", "source_size", "target", "taken", "position"}
+    taken = {"size", "source_size", "target", "taken", "position", "positions"}
     kept = [c for c in extra if c not in taken]
     same = Window.partitionBy("doc_id", "source", "_size").orderBy(*[F.xxhash64(c) for c in kept])
     left = docs.select("doc_id", "source", *kept).withColumn("_size", text_size(F.col("text"))).withColumn("_n", F.row_number().over(same))
     copies = Window.partitionBy("doc_id", "source", "size").orderBy("position", "taken")
     right = found.withColumn("_n", F.row_number().over(copies)).select(
-        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "_n", "size", "source_size", "target", "taken", "position"
+        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "_n", "size", "source_size", "target", "taken", "position", "positions"
     )
     same_row = (
         left.doc_id.eqNullSafe(F.col("_d")) & left.source.eqNullSafe(F.col("_s"))
@@ -135,5 +151,11 @@ def _attach(docs, found, extra):
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:
-    """Documents that the mix takes, range-sorted by position."""
-    return mixed.where("taken > 0").orderBy("position", "doc_id")
+    """Each occurrence of a document that the mix takes, range-sorted by its position.
+
+    round counts a document's occurrences from 0, words are those taken in it, position is its own.
+    """
+    kept = [c for c in mixed.columns if c not in ("position", "positions", "round", "words")]
+    each = mixed.select(*kept, F.posexplode("positions").alias("round", "position"))
+    words = F.least(F.col("size"), F.col("taken") - F.col("round") * F.col("size"))
+    return each.withColumn("words", words).orderBy("position", "doc_id", "round")

@@ -64,7 +64,7 @@ def chat_format(spark, sf_dir):
 def source_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     placed = mixing.mix_sizes(docs)
-    return placed.select("doc_id", "size", "source_size", "target", "taken", "position").orderBy("position", "doc_id")
+    return placed.select("doc_id", "size", "source_size", "target", "taken", "position", "positions").orderBy("position", "doc_id")
 
 
 @query("op1_warc_round_trip")
