@@ -57,3 +57,10 @@ def test_rules_find_planted_junk(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert quality.judge(none, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
+
+
+def test_low_rows_of_the_real_tables_are_rejected(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    judged = quality.judge(docs, labels).where("NOT base_failed").join(labels.where("quality IS NOT NULL"), "doc_id")
+    found = {(r.quality, r.kept): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert found == {(0, False): 291, (1, True): 3243}
