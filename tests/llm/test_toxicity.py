@@ -54,3 +54,17 @@ def test_slopes_are_those_of_differences():
         back[n, t, k] -= 1e-2
         slope = ((network.forward(moved, mask) - network.forward(back, mask)) * error).sum() / 2e-2
         assert abs(slope - d_x[n, t, k]) < 2e-3
+
+
+def test_long_words_are_read_whole():
+    calm = "-".join(f"w{i % 150}" for i in range(200))
+    for place in (0, 30, 300, len(calm)):
+        joined = calm[:place] + "-idiot-trash-scum-vile-" + calm[place:]
+        grams = {g for step in toxicity.steps_of(joined) for g in toxicity.features(step)[1]}
+        for word in ("idiot", "trash", "scum", "vile"):
+            assert set(toxicity.features(word)[1][1:-1]) <= grams
+        assert max(map(len, toxicity.steps_of(joined))) <= toxicity.PIECE
+    network = toxicity.train(*corpus(500, 1), rounds=4)
+    clean, toxic = toxicity.Scorer(network).scores([calm, calm + "-" + "-".join(["idiot", "trash", "scum", "vile"] * 8)])
+    assert toxic > 0.5 > clean
+    assert toxicity.steps_of("a b\n" + "c" * 40) == ["a", "b", "c" * 40] and toxicity.steps_of(None) == []

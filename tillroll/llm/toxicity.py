@@ -1,10 +1,11 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word enters as the sum of what two tables give: one entry for the word's hash, and the mean of
-the entries of its character trigrams. Texts are cut into overlapping windows; the score of a
-text is that of its most toxic window. Training sees documents, not windows: in each round it
-takes, per document, the window that the present model (at first, word log-odds) finds most
-toxic, and a random one if the document is clean.
+the entries of its character trigrams. A word of more than PIECE characters (text without white
+space, or joined by other marks) enters as overlapping pieces, each like a word. Texts are cut into
+overlapping windows; the score of a text is that of its most toxic window. Training sees documents,
+not windows: in each round it takes, per document, the window that the present model (at first,
+word log-odds) finds most toxic, and a random one if the document is clean.
 
 The network is fitted on the driver on at most SAMPLE labelled documents, those of least hash, in
 a fixed order, so reruns agree. Scoring runs over every whole text in tasks that hold the model
@@ -33,13 +34,34 @@ WORDS, TRIGRAMS, HIDDEN = 1 << 14, 1 << 12, 8
 ROUNDS, BATCH, RATE, DECAY = 5, 64, 0.015, 4e-4
 #: Windows computed at a time; words a worker remembers.
 WIDTH, REMEMBERED = 512, 150_000
+#: Characters of the longest word that is taken as one, and between the starts of the pieces of longer ones.
+PIECE, PIECE_STEP = 40, 20
 _find = regex.compile(r"[^\x20\x09-\x0D]+").findall
 
 
+def bare_of(word: str) -> str:
+    return word.lower().strip(".,;:!?\"'()[]") or word
+
+
+def steps_of(text) -> list:
+    """The words of a text, longer ones as overlapping pieces that together have all their characters."""
+    words = _find(text) if text else []
+    if all(len(w) <= PIECE for w in words):
+        return words
+    found = []
+    for word in words:
+        bare = bare_of(word) if len(word) > PIECE else ""
+        if len(bare) <= PIECE:
+            found.append(word)
+        else:
+            found.extend(bare[at : at + PIECE] for at in range(0, len(bare) - PIECE_STEP, PIECE_STEP))
+    return found
+
+
 def features(word: str):
     """The word's entry and those of its trigrams; case and marks at its ends do not matter."""
-    bare = word.lower().strip(".,;:!?\"'()[]") or word
-    marked = f"<{bare[:40]}>"
+    bare = bare_of(word)
+    marked = f"<{bare}>"
     grams = [xxhash.xxh32_intdigest(marked[i : i + 3].encode()) % TRIGRAMS for i in range(len(marked) - 2)]
     return xxhash.xxh32_intdigest(bare.encode(), 7) % WORDS, grams or [0]
 
@@ -178,7 +200,7 @@ class Scorer:
                 owner.clear()
 
         for n, text in enumerate(texts):
-            ids = self.ids(_find(text) if text else [])
+            ids = self.ids(steps_of(text))
             for a, b in windows_of(len(ids)):
                 pieces.append(ids[a:b])
                 owner.append(n)
@@ -206,7 +228,7 @@ def train(texts, toxic, rounds=ROUNDS, seed=5) -> Network:
     toxic = np.asarray(toxic, np.float32)
     vocabulary, docs = {}, []
     for text in texts:
-        docs.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in (_find(text) if text else [])], np.int64))
+        docs.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in steps_of(text)], np.int64))
     found = [features(w) for w in vocabulary] or [(0, [0])]
     word_of = np.array([f[0] for f in found])
     gram_row = np.concatenate([np.full(len(f[1]), i) for i, f in enumerate(found)])
