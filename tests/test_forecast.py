@@ -139,3 +139,23 @@ def test_scaling_goes_back(spark):
 def test_forecast_length_is_checked(spark, n):
     with pytest.raises(ValueError):
         tools.future_weeks(weekly(spark, a=[1.0]), n)
+
+
+def test_short_series_have_rows(spark):
+    series = weekly(spark, long=ar1(120, 0.6, 3), short=[1.0, 2.0, 4.0])
+    tests = {(r.series_id, r.test): r for r in stationarity.stationarity_tests(series).collect()}
+    assert len(tests) == 4
+    for test in ("adf", "kpss"):
+        assert (tests["short", test].statistic, tests["short", test].p_value, tests["short", test].stationary) == (None, None, None)
+        assert tests["short", test].reason == "fewer than 12 weeks"
+        assert tests["long", test].stationary in (0, 1) and tests["long", test].reason is None
+    orders = {r.series_id: r.differences for r in stationarity.differencing_order(series).collect()}
+    assert orders["short"] is None and orders["long"] == 0
+    grid = {"p": [1], "d": [0], "q": [0], "P": [0], "D": [0], "Q": [0], "m": [0]}
+    selected = arima.select_arima(arima.arima_grid_search(series, grid), series)
+    found = {r.series_id: (r.candidate, r.p, r.reason) for r in selected.collect()}
+    assert found == {"long": (0, 1, None), "short": (None, None, "too few weeks for every candidate")}
+    outlook = use_cases.sales_outlook(arima.arima_forecast(series, selected, 4)).collect()
+    assert sorted((r.series_id, r.step, r.predicted is None, r.series_total is None) for r in outlook) == [
+        (name, step, name == "short", name == "short") for name in ("long", "short") for step in (1, 2, 3, 4)
+    ]

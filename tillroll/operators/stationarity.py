@@ -23,7 +23,7 @@ ADF_QUANTILES = {
 }
 # Upper tail of the KPSS statistic for a level (Kwiatkowski et al., 1992)
 KPSS_QUANTILES = {0.347: 0.10, 0.463: 0.05, 0.574: 0.025, 0.739: 0.01}
-SHORTEST = 12  # weeks; shorter series are not tested
+SHORTEST = 12  # weeks; shorter series get nulls
 
 
 def adf(x):
@@ -61,41 +61,53 @@ def kpss(x):
 
 def _histories(series: DataFrame) -> DataFrame:
     rows = F.array_sort(F.collect_list(F.struct("week_end", "total_price")))
-    return series.groupBy("series_id").agg(F.transform(rows, lambda r: r["total_price"]).alias("history")).where(
-        F.size("history") >= SHORTEST
-    )
+    return series.groupBy("series_id").agg(F.transform(rows, lambda r: r["total_price"]).alias("history"))
 
 
 def stationarity_tests(series: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """(series_id, test, statistic, p_value, stationary) of the ADF and KPSS tests."""
+    """(series_id, test, statistic, p_value, stationary, reason) of the ADF and KPSS tests.
+
+    A series of fewer than SHORTEST weeks has nulls, and a reason.
+    """
+    short = f"fewer than {SHORTEST} weeks"
 
     def run(batches):
         for pdf in batches:
             found = []
             for row in pdf.itertuples(index=False):
                 x = np.asarray(row.history, dtype=float)
+                if len(x) < SHORTEST:
+                    found.extend((row.series_id, test, None, None, None, short) for test in ("adf", "kpss"))
+                    continue
                 statistic, p = adf(x)
-                found.append((row.series_id, "adf", statistic, p, int(p <= alpha)))
+                found.append((row.series_id, "adf", statistic, p, int(p <= alpha), None))
                 statistic, p = kpss(x)
-                found.append((row.series_id, "kpss", statistic, p, int(p >= alpha)))
-            yield pd.DataFrame(found, columns=["series_id", "test", "statistic", "p_value", "stationary"])
+                found.append((row.series_id, "kpss", statistic, p, int(p >= alpha), None))
+            frame = pd.DataFrame(found, columns=["series_id", "test", "statistic", "p_value", "stationary", "reason"])
+            yield frame.astype({"stationary": "Int32"})
 
     return _histories(series).mapInPandas(
-        run, "series_id string, test string, statistic double, p_value double, stationary int"
+        run, "series_id string, test string, statistic double, p_value double, stationary int, reason string"
     )
 
 
 def differencing_order(series: DataFrame, alpha: float = 0.05, most: int = 2) -> DataFrame:
-    """Smallest number of differences after which the ADF test rejects a unit root; ``most`` if none does."""
+    """Smallest number of differences after which the ADF test rejects a unit root; ``most`` if none does.
+
+    Null for a series of fewer than SHORTEST weeks, which is not tested.
+    """
 
     def run(batches):
         for pdf in batches:
             orders = []
             for history in pdf["history"]:
                 x, order = np.asarray(history, dtype=float), 0
+                if len(x) < SHORTEST:
+                    orders.append(None)
+                    continue
                 while order < most and adf(x)[1] > alpha:
                     x, order = np.diff(x), order + 1
                 orders.append(order)
-            yield pd.DataFrame({"series_id": pdf["series_id"], "differences": orders})
+            yield pd.DataFrame({"series_id": pdf["series_id"], "differences": pd.array(orders, dtype="Int32")})
 
     return _histories(series).mapInPandas(run, "series_id string, differences int")

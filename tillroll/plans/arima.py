@@ -122,14 +122,24 @@ def arima_grid_search(
     )
 
 
-def select_arima(scores: DataFrame) -> DataFrame:
-    """Candidate with the lowest mean AIC per series; equal ones go to the first candidate."""
+def select_arima(scores: DataFrame, series: DataFrame | None = None) -> DataFrame:
+    """Candidate with the lowest mean AIC per series; equal ones go to the first candidate.
+
+    With series, each of them has a row: nulls and a reason if no candidate was feasible.
+    """
     best = F.min(F.struct("aic", "candidate", *ORDER, "rmse")).alias("best")
-    return scores.groupBy("series_id").agg(best).select("series_id", *[f"best.{c}" for c in ("candidate", *ORDER, "aic", "rmse")])
+    chosen = scores.groupBy("series_id").agg(best).select("series_id", *[f"best.{c}" for c in ("candidate", *ORDER, "aic", "rmse")])
+    if series is None:
+        return chosen
+    reason = F.when(F.col("candidate").isNull(), "too few weeks for every candidate").alias("reason")
+    return series.select("series_id").distinct().join(chosen, "series_id", "left").select(*chosen.columns, reason)
 
 
 def arima_forecast(series: DataFrame, selected: DataFrame, n_periods: int, box_cox: bool = False) -> DataFrame:
-    """Refit the selected order on all weeks and forecast: (series_id, step, week_end, predicted)."""
+    """Refit the selected order on all weeks and forecast: (series_id, step, week_end, predicted).
+
+    A series whose selected order is null has its weeks with null predictions.
+    """
     check_n_periods(n_periods)
     work = _timed(series).join(selected.select("series_id", *ORDER), "series_id")
 
@@ -147,8 +157,12 @@ def arima_forecast(series: DataFrame, selected: DataFrame, n_periods: int, box_c
                 parts.append((row.series_id, row.last_week, [float(v) for v in predicted]))
             yield pd.DataFrame(parts, columns=["series_id", "last_week", "predicted"])
 
+    ordered = F.col(ORDER[0]).isNotNull()
+    nothing = F.array_repeat(F.lit(None).cast("double"), n_periods).alias("predicted")
     return (
-        work.mapInPandas(predict, "series_id string, last_week date, predicted array<double>")
+        work.where(ordered)
+        .mapInPandas(predict, "series_id string, last_week date, predicted array<double>")
+        .unionByName(work.where(~ordered).select("series_id", "last_week", nothing))
         .select("series_id", "last_week", F.posexplode("predicted").alias("position", "predicted"))
         .select(
             "series_id",
