@@ -3,7 +3,21 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, decontaminate, html, minhash, mixing, pii, quality, tokens, toxicity, warc
+from tillroll.llm import (
+    alignment,
+    chat,
+    decontaminate,
+    html,
+    licenses,
+    merkle,
+    minhash,
+    mixing,
+    pii,
+    quality,
+    tokens,
+    toxicity,
+    warc,
+)
 from tillroll.session import new_path
 
 QUERIES = {}
@@ -120,3 +134,92 @@ def main_text(spark, sf_dir):
     extract = html.extractor(spark, html.fit(pages))
     found = pages.select("page_id", "url", extract(F.col("html")).alias("text"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query("op13_license_scan")
+def license_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", licenses.scanner(spark, licenses.automaton())(F.col("text")).alias("found"))
+    return found.select("doc_id", *licenses.summary(F.col("found")))
+
+
+MERKLE_SQL = """
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, source, text,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    list_reduce(list_concat([4294967295::BIGINT], [ascii(c)::BIGINT for c in string_split(doc_id::VARCHAR, '')]),
+      lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, z: xor(x >> 1, 3988292384::BIGINT * (x & 1)))) AS inverted_crc
+  FROM documents
+), leaves AS (
+  SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN inverted_crc & 1 = 1 THEN replace(text, chr(10), '') ELSE text END AS altered,
+    dense_rank() OVER (ORDER BY source COLLATE "C" NULLS FIRST) - 1 AS tree
+  FROM hashed
+), placed AS (
+  SELECT *, sha256(head || coalesce(strlen(altered) || ':' || altered, '-')) AS other,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves
+), nodes AS (
+  SELECT tree, 0 AS level, i, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT tree, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY i)) FROM nodes WHERE n > 1
+  GROUP BY tree, level, i // 3, n
+), subroots AS (
+  SELECT tree, max(level) AS height, arg_max(digest, level) AS subroot FROM nodes GROUP BY tree
+), tops AS (
+  SELECT 0 AS level, tree AS i, (SELECT count(*) FROM subroots) AS n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY level, i // 3, n
+), runs AS (
+  SELECT tree, level, i // 3 AS run, list(digest ORDER BY i) AS members FROM nodes WHERE n > 1 GROUP BY tree, level, i // 3
+), top_runs AS (
+  SELECT level, i // 3 AS run, list(digest ORDER BY i) AS members FROM tops WHERE n > 1 GROUP BY level, i // 3
+), steps AS (
+  SELECT tree, i, level, (i // power(3, level)::BIGINT) AS spot FROM placed JOIN subroots USING (tree), range(0, 40) r(level) WHERE level < height
+), path AS (
+  SELECT s.tree, s.i, s.level, s.spot % 3 AS place, members FROM steps s JOIN runs r ON r.tree = s.tree AND r.level = s.level AND r.run = s.spot // 3
+  UNION ALL
+  SELECT p.tree, p.i, 100 + r.level, (p.tree // power(3, r.level)::BIGINT) % 3, members
+  FROM placed p JOIN top_runs r ON r.run = p.tree // power(3, r.level + 1)::BIGINT
+), proofs AS (
+  SELECT tree, i, list(struct_pack(place := place, members := members) ORDER BY level) AS steps,
+    string_agg(list_aggregate(list_concat(members[1:place], members[place + 2:]), 'string_agg', ''), '' ORDER BY level) AS siblings
+  FROM path GROUP BY tree, i
+), folds AS (
+  SELECT p.tree, p.i, 1 AS step, p.other AS digest, coalesce(f.steps, []) AS steps FROM placed p LEFT JOIN proofs f USING (tree, i)
+  UNION ALL
+  SELECT tree, i, step + 1, sha256(list_aggregate(list_concat(steps[step].members[1:steps[step].place], [digest], steps[step].members[steps[step].place + 2:]), 'string_agg', '')), steps
+  FROM folds WHERE step <= len(steps)
+), ends AS (
+  SELECT tree, i, arg_max(digest, step) AS folded_root FROM folds GROUP BY tree, i
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN subroots USING (tree) JOIN ends USING (tree, i) LEFT JOIN proofs USING (tree, i)
+CROSS JOIN (SELECT arg_max(digest, level) AS root FROM tops)
+"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
+    text = F.when(tampered, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    kept = merkle.manifest(docs, presented=merkle.leaf_hash(text=text))
+    folded = kept.withColumn("folded_root", merkle.folded(F.col("presented"), F.col("path")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query("op12_token_alignment")
+def token_alignment(spark, sf_dir, byte_level="byte_bpe_50k.json", pieces="piece_bpe_32k.model"):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align_corpus(docs, public_tokenizers.path(byte_level), public_tokenizers.path(pieces))
