@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tests.conftest import rows
-from tillroll.functions import arima as single
+from tillroll.functions import arima as single, kalman
 from tillroll.operators import profile, series as tools, stationarity
 from tillroll.plans import arima, autoregression, use_cases
 
@@ -32,19 +32,92 @@ GRID = {"p": [0, 1], "d": [0], "q": [0], "P": [0], "D": [0], "Q": [0], "m": [0]}
 
 
 def test_coefficients_are_recovered():
-    coefficients, *_ = single.fit(ar1(3000), order(p=1))
-    assert coefficients[1] == pytest.approx(0.6, abs=0.05)
+    ar, _ = single.fit(ar1(3000), order(p=1)).coefficients()
+    assert ar[1][0] == pytest.approx(0.6, abs=0.05)
     rng = np.random.default_rng(4)
     shocks = rng.normal(size=4000)
-    coefficients, *_ = single.fit(10 + shocks[1:] + 0.5 * shocks[:-1], order(q=1))
-    assert coefficients[1] == pytest.approx(0.5, abs=0.06)
+    _, ma = single.fit(10 + shocks[1:] + 0.5 * shocks[:-1], order(q=1)).coefficients()
+    assert ma[1][0] == pytest.approx(0.5, abs=0.06)
+
+
+def dense_likelihood(shape, x, y):
+    """Log-likelihood, mean and forecast of a series as one draw from a Gaussian, from the weights of its shocks."""
+    ar, ma = shape.coefficients(x[None])
+    n, psi = len(y), np.zeros(8000)
+    psi[0] = 1.0
+    for k in range(1, len(psi)):
+        psi[k] = (ma[k][0] if k in ma else 0.0) + sum(v[0] * psi[k - lag] for lag, v in ar.items() if lag <= k)
+    covariance = np.array([psi[: len(psi) - k] @ psi[k:] for k in range(n + 5)])
+    matrix = covariance[np.abs(np.subtract.outer(np.arange(n), np.arange(n)))]
+    root = np.linalg.cholesky(matrix)
+    own, ones = np.linalg.solve(root, y), np.linalg.solve(root, np.ones(n))
+    mean = (own @ ones) / (ones @ ones)
+    scale = ((own - mean * ones) ** 2).mean()
+    ahead = [mean + covariance[h : h + n][::-1] @ np.linalg.solve(matrix, y - mean) for h in range(1, 4)]
+    return -0.5 * (n * np.log(2 * np.pi * scale) + n + 2 * np.log(np.diag(root)).sum()), mean, ahead
+
+
+@pytest.mark.parametrize(
+    "sizes", [(0, 0, 0, 0, 0), (1, 0, 0, 0, 0), (2, 0, 0, 0, 0), (0, 1, 0, 0, 0), (2, 2, 0, 0, 0), (1, 1, 1, 0, 4), (1, 2, 1, 1, 7), (0, 1, 2, 0, 12)]
+)
+def test_likelihood_and_forecast_equal_the_dense_gaussian(sizes):
+    rng = np.random.default_rng(sum(sizes))
+    shape = kalman.Shape(*sizes)
+    x, y, lengths = rng.normal(size=(3, shape.n)) * 0.5, rng.normal(size=(3, 70)) + 5, np.array([70, 55, 31])
+    mean, _, likelihood, _ = kalman.Models(shape, x).run(y, lengths)
+    ahead = kalman.forecast(shape, x, y, lengths, 3)
+    for i, n in enumerate(lengths):
+        wanted, centre, weeks = dense_likelihood(shape, x[i], y[i, :n])
+        assert likelihood[i] == pytest.approx(wanted, abs=1e-6)
+        assert mean[i] == pytest.approx(centre, abs=1e-6)
+        assert ahead[i] == pytest.approx(weeks, abs=1e-6)
+
+
+def test_fit_is_a_maximum_and_counts_its_parameters():
+    fits = single.fit(ar1(150, 0.5, 7), order(p=1, q=1))
+    shape, x = fits.shape, fits.x
+    best = fits.likelihood[0]
+    for step in np.eye(2):
+        for size in (0.05, -0.05):
+            assert kalman.log_likelihoods(shape, x + size * step, fits.series, fits.lengths)[0] <= best + 1e-6
+    assert fits.aic[0] == pytest.approx(2 * 4 - 2 * best)
 
 
 def test_differences_are_undone():
     line = 5.0 + 2.0 * np.arange(60)
-    assert np.allclose(single.forecast(line, order(d=1), 3)[0], [125, 127, 129])
+    assert np.allclose(single.fit(line, order(d=1)).forecast(3)[0], [125, 127, 129])
     season = np.tile([1.0, 5.0, 2.0, 8.0], 12)
-    assert np.allclose(single.forecast(season, order(D=1, m=4), 5)[0], [1, 5, 2, 8, 1])
+    assert np.allclose(single.fit(season, order(D=1, m=4)).forecast(5)[0], [1, 5, 2, 8, 1])
+
+
+def test_search_of_a_family_equals_single_fits():
+    history = ar1(90, 0.7, 3)
+    candidates = [(0, order()), (1, order(p=1)), (2, order(p=2, q=1)), (3, order(q=1)), (4, order(p=1, m=52))]
+    found = {(n, fold): (aic, rmse) for n, fold, aic, rmse in single.search(history, candidates, 3, 8)}
+    assert len(found) == 15
+    for n, o in candidates:
+        for fold in range(3):
+            end = len(history) - (3 - fold) * 8
+            alone = single.fit(history[:end], o)
+            error = np.sqrt(np.mean((history[end : end + 8] - alone.forecast(8)[0]) ** 2))
+            assert found[n, fold][0] == pytest.approx(alone.aic[0], abs=0.05)
+            assert found[n, fold][1] == pytest.approx(error, rel=0.05)
+    assert found[1, 0] == found[4, 0]
+
+
+def test_hold_out_does_not_reach_the_search(spark):
+    history = ar1(110, 0.7, 5)
+    other = np.concatenate([history[:-8], history[-8:] * 50])
+    series = weekly(spark, a=history, b=other, tiny=ar1(6), few=ar1(30))
+    scores = arima.arima_grid_search(arima.training_part(series), GRID)
+    kept = {(r.series_id, r.candidate): (r.aic, r.reason) for r in scores.collect()}
+    assert kept["a", 1] == kept["b", 1] and kept["a", 0] == kept["b", 0]
+    assert kept["few", 0] == (None, "too few weeks in the first fold")
+    selected = arima.select_arima(scores, series)
+    result = {r.series_id: (r.rmse is None, r.reason) for r in arima.evaluate_forecast(series, selected).collect()}
+    assert result == {
+        "a": (False, None), "b": (False, None), "tiny": (True, "no weeks before the hold-out"), "few": (True, "no order was selected"),
+    }
 
 
 @pytest.mark.parametrize("power", [-1.0, 0.0, 0.5, 2.0])
@@ -159,3 +232,14 @@ def test_short_series_have_rows(spark):
     assert sorted((r.series_id, r.step, r.predicted is None, r.series_total is None) for r in outlook) == [
         (name, step, name == "short", name == "short") for name in ("long", "short") for step in (1, 2, 3, 4)
     ]
+
+
+def test_short_series_keep_a_row_with_a_reason(spark):
+    series = weekly(spark, long=range(60), short=range(48), tiny=range(2))
+    folds = tools.expanding_folds(series, keep_short=True)
+    assert rows(folds.where("reason IS NOT NULL"), "series_id", "fold", "is_test") == [("short", None, None), ("tiny", None, None)]
+    assert folds.where("reason IS NULL").drop("reason").exceptAll(tools.expanding_folds(series)).count() == 0
+    lags = tools.latest_lag_vector(series, 3, keep_short=True)
+    assert rows(lags, "series_id", "lags", "reason") == [
+        ("long", [57.0, 58.0, 59.0], None), ("short", [45.0, 46.0, 47.0], None), ("tiny", None, "too few weeks for the lags"),
+    ]

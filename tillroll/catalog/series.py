@@ -60,11 +60,13 @@ def last_share(spark, sf_dir):
     "expanding_folds",
     with_ctes(*SERIES_CTES, PLACED)
     + f"""SELECT series_id, CAST(fold AS INTEGER) AS fold, {DAY}, total_price,
-  CASE WHEN position >= length - 48 + 8 * fold THEN 1 ELSE 0 END AS is_test
-FROM placed, range(0, 6) r(fold) WHERE length > 48 AND position < length - 40 + 8 * fold""",
+  CASE WHEN position >= length - 48 + 8 * fold THEN 1 ELSE 0 END AS is_test, CAST(NULL AS VARCHAR) AS reason
+FROM placed, range(0, 6) r(fold) WHERE length > 48 AND position < length - 40 + 8 * fold
+UNION ALL
+SELECT DISTINCT series_id, CAST(NULL AS INTEGER), NULL, NULL, CAST(NULL AS INTEGER), 'too few weeks for the folds' FROM placed WHERE length <= 48""",
 )
 def folds(spark, sf_dir):
-    return shown(series.expanding_folds(country_series(spark, sf_dir)))
+    return shown(series.expanding_folds(country_series(spark, sf_dir), keep_short=True))
 
 
 @query(
@@ -74,13 +76,15 @@ def folds(spark, sf_dir):
   max(CASE WHEN position = length - 4 THEN total_price END) AS lag_4,
   max(CASE WHEN position = length - 3 THEN total_price END) AS lag_3,
   max(CASE WHEN position = length - 2 THEN total_price END) AS lag_2,
-  max(CASE WHEN position = length - 1 THEN total_price END) AS lag_1
-FROM placed WHERE length >= 4 GROUP BY series_id""",
+  max(CASE WHEN position = length - 1 THEN total_price END) AS lag_1, CAST(NULL AS VARCHAR) AS reason
+FROM placed WHERE length >= 4 GROUP BY series_id
+UNION ALL
+SELECT DISTINCT series_id, NULL, NULL, NULL, NULL, NULL, 'too few weeks for the lags' FROM placed WHERE length < 4""",
 )
 def latest(spark, sf_dir):
-    vector = series.latest_lag_vector(country_series(spark, sf_dir), 4)
+    vector = series.latest_lag_vector(country_series(spark, sf_dir), 4, keep_short=True)
     lag = [F.col("lags")[i].alias(f"lag_{4 - i}") for i in range(4)]
-    return shown(vector.select("series_id", "week_end", *lag))
+    return shown(vector.select("series_id", "week_end", *lag, "reason"))
 
 
 @query(

@@ -1,34 +1,43 @@
-"""Least-squares ARIMA for one series, used inside Spark tasks.
+"""ARIMA orders of one series, fitted by exact likelihood; used inside Spark tasks.
 
-Two-stage regression (Hannan and Rissanen, 1982): a long autoregression estimates the
-shocks, then the differenced series is regressed on its own lags and on lagged shocks.
-Seasonal orders add the lags m, 2m, ...
+The differenced series is a seasonal ARMA process around a mean: phi(B) Phi(B^m) (w - mean) =
+theta(B) Theta(B^m) shock. All orders that share differences and seasonal terms are fitted
+together, on all folds.
 """
 
+from itertools import groupby
+
 import numpy as np
 
+from tillroll.functions import kalman
 from tillroll.operators.series import BOX_COX_SHIFT, SMALLEST
 
 SPARE_ROWS = 8  # observations wanted beyond the number of coefficients
 POWERS = np.linspace(-2.0, 2.0, 81)
 
 
-def lag_sets(order):
-    """Lags of the series and of the shocks."""
-    ar = sorted({*range(1, order["p"] + 1), *(k * order["m"] for k in range(1, order["P"] + 1))})
-    ma = sorted({*range(1, order["q"] + 1), *(k * order["m"] for k in range(1, order["Q"] + 1))})
-    return ar, ma
+def effective(order):
+    """The order with a season only where a seasonal term needs one: equal ones are the same model."""
+    return order if order["P"] or order["D"] or order["Q"] else order | {"m": 0}
+
+
+def n_coefficients(order):
+    return order["p"] + order["q"] + order["P"] + order["Q"]
+
+
+def weeks_lost(order):
+    """Observations used up by differences."""
+    return order["d"] + order["D"] * order["m"]
 
 
-def _long_order(order):
-    ar, ma = lag_sets(order)
-    return max([*ar, *ma, 4]) + 1 if ma else 0
+def weeks_wanted(order):
+    return weeks_lost(order) + n_coefficients(order) + 1 + SPARE_ROWS
 
 
-def rows_needed(order):
-    """Observations used up before the first usable one."""
-    ar, ma = lag_sets(order)
-    return order["d"] + order["D"] * order["m"] + _long_order(order) + max([*ar, *ma, 0])
+def family(order):
+    """Orders of one family differ in p and q only, and are fitted together."""
+    order = effective(order)
+    return tuple(order[k] for k in ("d", "D", "P", "Q", "m"))
 
 
 def difference_weights(order):
@@ -41,44 +50,68 @@ def difference_weights(order):
     return weights
 
 
-def _lagged(x, lags, start):
-    return np.column_stack([np.ones(len(x) - start), *[x[start - k:len(x) - k] for k in lags]])
-
-
-def fit(values, order, start=0):
-    """Coefficients, differenced series, shocks, and AIC on observations from ``start`` on."""
-    weights = difference_weights(order)
-    lost = len(weights) - 1
-    w = np.convolve(values, weights, mode="valid")
-    ar, ma = lag_sets(order)
-    shocks = np.zeros(len(w))
-    long = _long_order(order)
-    if ma:
-        design = _lagged(w, range(1, long + 1), long)
-        coefficients = np.linalg.lstsq(design, w[long:], rcond=None)[0]
-        shocks[long:] = w[long:] - design @ coefficients
-    first = max(start - lost, long + max([*ar, *ma, 0]))
-    design = np.column_stack([_lagged(w, ar, first), *[shocks[first - k:len(w) - k] for k in ma]])
-    coefficients = np.linalg.lstsq(design, w[first:], rcond=None)[0]
-    residuals = w[first:] - design @ coefficients
-    n = len(residuals)
-    aic = n * np.log(max(residuals @ residuals / n, SMALLEST)) + 2 * (design.shape[1] + 1)
-    shocks[first:] = residuals
-    return coefficients, w, shocks, float(aic)
-
-
-def forecast(values, order, n_periods, start=0):
-    """Forecast and AIC; future shocks are 0."""
-    coefficients, w, shocks, aic = fit(values, order, start)
-    ar, ma = lag_sets(order)
-    weights = difference_weights(order)
-    w, shocks, z = list(w), list(shocks), list(values)
-    for _ in range(n_periods):
-        row = [1.0, *[w[-k] for k in ar], *[shocks[-k] for k in ma]]
-        w.append(float(np.dot(coefficients, row)))
-        shocks.append(0.0)
-        z.append(w[-1] - sum(c * z[-k] for k, c in enumerate(weights) if k))
-    return np.array(z[len(values):]), aic
+class Fits:
+    """Orders of one family fitted to histories, one order for each history."""
+
+    def __init__(self, orders, histories, start=None):
+        self.weights = difference_weights(orders[0])
+        self.histories = histories
+        own = [np.convolve(h, self.weights, mode="valid") for h in histories]
+        self.lengths = np.array([len(w) for w in own])
+        self.series = np.zeros((len(own), self.lengths.max()))
+        for row, w in zip(self.series, own):
+            row[: len(w)] = w
+        p, q = (max(o[k] for o in orders) for k in ("p", "q"))
+        self.shape = kalman.Shape(p, q, orders[0]["P"], orders[0]["Q"], orders[0]["m"])
+        free = [[*(np.arange(p) < o["p"]), *(np.arange(q) < o["q"]), *[True] * (o["P"] + o["Q"])] for o in orders]
+        free = np.array(free, bool).reshape(len(orders), self.shape.n)
+        self.x, self.likelihood, self.inverse = kalman.fit(self.shape, free, self.series, self.lengths, *(start or ()))
+        # the mean and the scale are parameters too
+        self.aic = 2 * (np.array([n_coefficients(o) for o in orders]) + 2) - 2 * self.likelihood
+
+    def coefficients(self):
+        """({lag: AR}, {lag: MA}) of each fit, one array for each lag."""
+        return self.shape.coefficients(self.x)
+
+    def forecast(self, n_periods):
+        """The weeks that follow each history, differences undone."""
+        ahead = kalman.forecast(self.shape, self.x, self.series, self.lengths, n_periods)
+        out = []
+        for history, w in zip(self.histories, ahead):
+            z = list(history[len(history) - len(self.weights) + 1 :])
+            for value in w:
+                z.append(value - sum(c * z[-k] for k, c in enumerate(self.weights) if k))
+            out.append(np.array(z[len(self.weights) - 1 :]))
+        return out
+
+
+def fit(history, order):
+    return Fits([effective(order)], [np.asarray(history, dtype=float)])
+
+
+def search(history, candidates, n_splits, test_size, box_cox=False):
+    """(candidate, fold, AIC, RMSE) of numbered orders of one family on expanding folds of a history.
+
+    The last fold, which has the most weeks, is searched first; the others start from its result.
+    """
+    ends = [len(history) - (n_splits - fold) * test_size for fold in range(n_splits)]
+    powers = [box_cox_power(history[:end]) if box_cox else None for end in ends]
+    trains = [to_box_cox(history[:end], power) if box_cox else history[:end] for end, power in zip(ends, powers)]
+    keyed = sorted(((tuple(effective(o).items()), n) for n, o in candidates))
+    alike = [(dict(key), [n for _, n in rows]) for key, rows in groupby(keyed, key=lambda pair: pair[0])]
+    orders, found, start = [order for order, _ in alike], [], None
+    for folds in ([n_splits - 1], list(range(n_splits - 1))):
+        if not folds:
+            continue
+        fits = Fits([o for o in orders for _ in folds], [trains[fold] for _ in orders for fold in folds], start)
+        start = tuple(None if x is None else np.repeat(x, n_splits - 1, axis=0) for x in (fits.x, fits.inverse))
+        ahead = fits.forecast(test_size)
+        for at, (fold, numbers) in enumerate((fold, numbers) for _, numbers in alike for fold in folds):
+            predicted = from_box_cox(ahead[at], powers[fold]) if box_cox else ahead[at]
+            actual = history[ends[fold] : ends[fold] + test_size]
+            error = float(np.sqrt(np.mean((actual - predicted) ** 2)))
+            found += [(n, fold, float(fits.aic[at]), error) for n in numbers]
+    return found
 
 
 def box_cox_power(values):

@@ -43,32 +43,48 @@ def time_series_holdout(series: DataFrame, test_size) -> DataFrame:
     return _positions(series).select("series_id", "week_end", "total_price", is_test.alias("is_test"))
 
 
-def expanding_folds(series: DataFrame, n_splits: int = 6, test_size: int = 8) -> DataFrame:
-    """Rows per fold: the test weeks of a fold (``is_test`` 1) and all weeks before them."""
+def expanding_folds(series: DataFrame, n_splits: int = 6, test_size: int = 8, keep_short: bool = False) -> DataFrame:
+    """Rows per fold: the test weeks of a fold (``is_test`` 1) and all weeks before them.
+
+    A series that has no week before its first fold has no rows; with ``keep_short`` it has one without a
+    fold, and all rows have a ``reason``, null for the others.
+    """
     fold = F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("fold")
     start = F.col("length") - (n_splits - F.col("fold")) * test_size
-    return (
-        _positions(series)
-        .where(F.col("length") > n_splits * test_size)
+    long_enough = F.col("length") > n_splits * test_size
+    placed = _positions(series)
+    folds = (
+        placed.where(long_enough)
         .select("*", fold)
         .where(F.col("position") < start + test_size)
         .select("series_id", "fold", "week_end", "total_price",
                 F.when(F.col("position") >= start, 1).otherwise(0).alias("is_test"))
     )
+    return folds if not keep_short else _with_short(folds, placed.where(~long_enough), "too few weeks for the folds")
+
 
+def _with_short(rows: DataFrame, short: DataFrame, reason: str) -> DataFrame:
+    """Rows with a null reason, and a row for each short series with the reason only."""
+    alone = short.select("series_id", F.lit(reason).alias("reason")).distinct()
+    return rows.withColumn("reason", F.lit(None).cast("string")).unionByName(alone, allowMissingColumns=True)
 
-def latest_lag_vector(series: DataFrame, n: int) -> DataFrame:
-    """Last ``n`` values per series in order, and the last week: (series_id, week_end, lags)."""
+
+def latest_lag_vector(series: DataFrame, n: int, keep_short: bool = False) -> DataFrame:
+    """Last ``n`` values per series in order, and the last week: (series_id, week_end, lags).
+
+    A shorter series has no row; with ``keep_short`` it has one without lags, and all rows have a ``reason``.
+    """
     place = F.row_number().over(_whole().orderBy(F.desc("week_end")))
     ordered = F.array_sort(F.collect_list(F.struct("week_end", "total_price")))
-    return (
+    vectors = (
         series.withColumn("place", place)
         .where(F.col("place") <= n)
         .groupBy("series_id")
         .agg(F.max("week_end").alias("week_end"), ordered.alias("rows"))
-        .where(F.size("rows") == n)
-        .select("series_id", "week_end", F.transform("rows", lambda r: r["total_price"]).alias("lags"))
     )
+    whole = F.size("rows") == n
+    lags = vectors.where(whole).select("series_id", "week_end", F.transform("rows", lambda r: r["total_price"]).alias("lags"))
+    return lags if not keep_short else _with_short(lags, vectors.where(~whole), "too few weeks for the lags")
 
 
 def future_weeks(series: DataFrame, n_periods: int) -> DataFrame:

@@ -1,18 +1,20 @@
 """ARIMA search and forecasts for many series.
 
 One row per series carries its weeks as an array, which the calendar bounds. The unit of
-parallel work is (series, candidate, fold).
+parallel work is a series and a family of orders: all candidates that differ in p and q only are
+fitted side by side, on all folds.
 """
 
 import itertools
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, Window
 
 from tillroll.contracts import check_n_periods, check_type
 from tillroll.functions import arima
 from tillroll.operators import metrics, series as tools
+from tillroll.session import spread
 
 # grid key -> column; column names ignore case, so the seasonal orders are spelled out
 COLUMNS = {
@@ -63,8 +65,8 @@ def arima_candidates(series: DataFrame, grid: dict, n_splits: int = N_SPLITS, te
     items = [
         F.struct(
             F.lit(number).alias("candidate"), *[F.lit(order[k]).alias(c) for k, c in COLUMNS.items()],
-            F.lit(arima.rows_needed(order)).alias("weeks_used"),
-            F.lit(_weeks_wanted(order)).alias("weeks_wanted"),
+            F.lit(arima.weeks_lost(order)).alias("weeks_used"),
+            F.lit(arima.weeks_wanted(order)).alias("weeks_wanted"),
         )
         for number, order in enumerate(orders)
     ]
@@ -75,51 +77,40 @@ def arima_candidates(series: DataFrame, grid: dict, n_splits: int = N_SPLITS, te
     )
 
 
-def _weeks_wanted(order):
-    ar, ma = arima.lag_sets(order)
-    return arima.rows_needed(order) + len(ar) + len(ma) + 1 + arima.SPARE_ROWS
-
-
 def arima_grid_search(
     series: DataFrame, grid: dict, box_cox: bool = False, n_splits: int = N_SPLITS, test_size: int = TEST_PERIODS
 ) -> DataFrame:
-    """Mean AIC and RMSE over expanding folds per feasible candidate of each series.
+    """Mean AIC and RMSE over expanding folds of each candidate of each series, by exact likelihood.
 
-    All candidates of a series are fitted to the same weeks, so that their AICs compare.
+    A candidate that some fold leaves too few weeks has a row with nulls and a reason.
     """
-    candidates = arima_candidates(series, grid, n_splits, test_size).where("feasible = 1")
-    most = candidates.groupBy("series_id").agg(F.max("weeks_used").alias("start"))
-    fold = F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("fold")
-    work = (
-        candidates.select("series_id", "candidate", *ORDER, fold)
-        .join(most, "series_id")
-        .join(_timed(series).drop("last_week"), "series_id")
-        .repartition("series_id", "candidate", "fold")
-    )
+    families = {}
+    for number, order in enumerate(_orders(grid)):
+        families.setdefault(arima.family(order), []).append((number, order))
+    families = list(families.values())
+    family = F.explode(F.sequence(F.lit(0), F.lit(len(families) - 1))).alias("family")
+    work = spread(_timed(series).select("series_id", "history", family), "series_id", "family")
 
     def fit_folds(batches):
         for pdf in batches:
             found = []
-            for row in pdf.itertuples(index=False):
-                order = {k: int(getattr(row, c)) for k, c in COLUMNS.items()}
-                history = np.asarray(row.history, dtype=float)
-                end = len(history) - (n_splits - row.fold) * test_size
-                train, actual = history[:end], history[end:end + test_size]
-                power = arima.box_cox_power(train) if box_cox else None
-                values = arima.to_box_cox(train, power) if box_cox else train
-                predicted, aic = arima.forecast(values, order, test_size, row.start)
-                if box_cox:
-                    predicted = arima.from_box_cox(predicted, power)
-                error = float(np.sqrt(np.mean((actual - predicted) ** 2)))
-                found.append((row.series_id, row.candidate, *order.values(), row.fold, aic, error))
-            yield pd.DataFrame(found, columns=["series_id", "candidate", *ORDER, "fold", "aic", "rmse"])
-
-    schema = "series_id string, candidate int, " + ", ".join(f"{k} int" for k in ORDER) + ", fold int, aic double, rmse double"
-    return (
-        work.mapInPandas(fit_folds, schema)
-        .groupBy("series_id", "candidate", *ORDER)
+            for series_id, history, family in pdf[["series_id", "history", "family"]].itertuples(index=False):
+                first = len(history) - n_splits * test_size
+                feasible = [(n, order) for n, order in families[family] if first >= arima.weeks_wanted(order)]
+                if feasible:
+                    rows = arima.search(np.asarray(history, dtype=float), feasible, n_splits, test_size, box_cox)
+                    found += [(series_id, *row) for row in rows]
+            yield pd.DataFrame(found, columns=["series_id", "candidate", "fold", "aic", "rmse"])
+
+    scores = (
+        work.mapInPandas(fit_folds, "series_id string, candidate int, fold int, aic double, rmse double")
+        .groupBy("series_id", "candidate")
         .agg(F.avg("aic").alias("aic"), F.avg("rmse").alias("rmse"))
     )
+    candidates = arima_candidates(series, grid, n_splits, test_size).select("series_id", "candidate", *ORDER, "feasible")
+    reason = F.when(F.col("feasible") == 0, "too few weeks in the first fold").alias("reason")
+    every = candidates.join(scores, ["series_id", "candidate"], "left")
+    return every.select("series_id", "candidate", *ORDER, "aic", "rmse", reason)
 
 
 def select_arima(scores: DataFrame, series: DataFrame | None = None) -> DataFrame:
@@ -128,20 +119,27 @@ def select_arima(scores: DataFrame, series: DataFrame | None = None) -> DataFram
     With series, each of them has a row: nulls and a reason if no candidate was feasible.
     """
     best = F.min(F.struct("aic", "candidate", *ORDER, "rmse")).alias("best")
-    chosen = scores.groupBy("series_id").agg(best).select("series_id", *[f"best.{c}" for c in ("candidate", *ORDER, "aic", "rmse")])
+    scored = scores.where(F.col("aic").isNotNull())
+    chosen = scored.groupBy("series_id").agg(best).select("series_id", *[f"best.{c}" for c in ("candidate", *ORDER, "aic", "rmse")])
     if series is None:
         return chosen
     reason = F.when(F.col("candidate").isNull(), "too few weeks for every candidate").alias("reason")
     return series.select("series_id").distinct().join(chosen, "series_id", "left").select(*chosen.columns, reason)
 
 
+def training_part(series: DataFrame, test_size: int = TEST_PERIODS) -> DataFrame:
+    """All weeks but the last ``test_size`` of each series, for a search that the hold-out does not see."""
+    place = F.row_number().over(Window.partitionBy("series_id").orderBy(F.desc("week_end")))
+    return series.withColumn("_place", place).where(F.col("_place") > test_size).drop("_place")
+
+
 def arima_forecast(series: DataFrame, selected: DataFrame, n_periods: int, box_cox: bool = False) -> DataFrame:
     """Refit the selected order on all weeks and forecast: (series_id, step, week_end, predicted).
 
     A series whose selected order is null has its weeks with null predictions.
     """
     check_n_periods(n_periods)
-    work = _timed(series).join(selected.select("series_id", *ORDER), "series_id")
+    work = spread(_timed(series).join(selected.select("series_id", *ORDER), "series_id"), "series_id")
 
     def predict(batches):
         for pdf in batches:
@@ -151,7 +149,7 @@ def arima_forecast(series: DataFrame, selected: DataFrame, n_periods: int, box_c
                 history = np.asarray(row.history, dtype=float)
                 power = arima.box_cox_power(history) if box_cox else None
                 values = arima.to_box_cox(history, power) if box_cox else history
-                predicted, _ = arima.forecast(values, order, n_periods)
+                predicted = arima.fit(values, order).forecast(n_periods)[0]
                 if box_cox:
                     predicted = arima.from_box_cox(predicted, power)
                 parts.append((row.series_id, row.last_week, [float(v) for v in predicted]))
@@ -174,9 +172,19 @@ def arima_forecast(series: DataFrame, selected: DataFrame, n_periods: int, box_c
 
 
 def evaluate_forecast(series: DataFrame, selected: DataFrame, test_size: int = TEST_PERIODS, box_cox: bool = False) -> DataFrame:
-    """RMSE per series on the last ``test_size`` weeks, forecast from the weeks before."""
-    marked = tools.time_series_holdout(series, test_size)
+    """RMSE of each series on its last ``test_size`` weeks, forecast from the weeks before: (series_id, rmse, reason).
+
+    selected should come from a search of ``training_part(series, test_size)``. A series without weeks
+    before the hold-out, or without a selected order, has a null and a reason.
+    """
+    length = F.count("*").over(Window.partitionBy("series_id"))
+    sized = series.withColumn("_length", length)
+    marked = tools.time_series_holdout(sized.where(F.col("_length") > test_size).drop("_length"), test_size)
     train = marked.where("is_test = 0").drop("is_test")
     actual = marked.where("is_test = 1").select("series_id", "week_end", F.col("total_price").alias("actual"))
-    predicted = arima_forecast(train, selected, test_size, box_cox)
-    return metrics.rmse(predicted.join(actual, ["series_id", "week_end"]), ["series_id"])
+    predicted = arima_forecast(train, selected, test_size, box_cox).where(F.col("predicted").isNotNull())
+    scores = metrics.rmse(predicted.join(actual, ["series_id", "week_end"]), ["series_id"])
+    every = sized.groupBy("series_id").agg(F.max("_length").alias("_length"))
+    short = F.when(F.col("_length") <= test_size, "no weeks before the hold-out").otherwise("no order was selected")
+    reason = F.when(F.col("rmse").isNull(), short).alias("reason")
+    return every.join(scores, "series_id", "left").select("series_id", "rmse", reason)

@@ -43,6 +43,16 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[application].name
 
 
+def spread(df: DataFrame, *keys, waves: int = 4) -> DataFrame:
+    """Deal rows that are small but take long, by their keys, to a few tasks for each slot.
+
+    A named number of partitions is left alone by adaptive execution, which sees only their few bytes.
+    """
+    spark = df.sparkSession
+    slots = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(waves * slots, *keys)
+
+
 def new_path(spark: SparkSession, kind: str = "settled") -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
