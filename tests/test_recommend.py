@@ -3,6 +3,9 @@ import pytest
 
 from tests.conftest import rows
 from tillroll.operators import baskets, recommend, sampling
+from tillroll.operators.dictionary import dense_index
+from tillroll.operators.neighbors import cells, nearest_items
+from tillroll.operators.scores import candidate_scores
 
 
 def table(spark, items_of):
@@ -43,7 +46,7 @@ def test_co_purchases_equal_the_matrix_product(spark, random_pairs, slice_items)
     assert found.count() == len(got)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"block_items": 7, "members_per_row": 5, "customers_per_salt": 20}])
+@pytest.mark.parametrize("sizes", [{}, {"cell_pairs": 300, "slice_items": 5, "customers_per_copy": 20}])
 def test_scores_equal_the_dense_formula(spark, random_pairs, sizes):
     items, matrix, _, similarity = dense(random_pairs)
     pairs = table(spark, random_pairs)
@@ -61,7 +64,7 @@ def test_scores_equal_the_dense_formula(spark, random_pairs, sizes):
         for k, m in enumerate(member):
             if not has[k] and sub[k].sum() > 0:
                 wanted[(c, m)] = (sub @ has)[k] / sub[k].sum()
-    scores = recommend.recommendation_scores(pairs, edges, neighbors, **sizes)
+    scores = candidate_scores(pairs, neighbors, **sizes)
     got = {(r.customer_id, r.stock_code): r.score for r in scores.collect()}
     assert got.keys() == wanted.keys()
     assert all(abs(got[k] - wanted[k]) < 1e-12 for k in got)
@@ -134,3 +137,54 @@ def test_latest_description(spark):
 def test_matrix(spark):
     wide = baskets.customer_item_matrix(table(spark, {1: ["a"], 2: ["a", "b"]}))
     assert rows(wide, "customer_id", "a", "b") == [(1, 1, 0), (2, 1, 1)]
+
+
+def plain(df):
+    return rows(df.withColumn("similarity", df.similarity.cast("decimal(12,9)")), "item", "neighbor", "similarity", "rank")
+
+
+@pytest.mark.parametrize("n", [1, 3, 50])
+@pytest.mark.parametrize("sizes", [{}, {"cell_pairs": 60, "slice_items": 5}])
+def test_nearest_items_are_those_of_all_pairs(spark, random_pairs, n, sizes):
+    pairs = table(spark, random_pairs)
+    assert plain(nearest_items(pairs, n, **sizes)) == plain(baskets.item_neighbors(baskets.item_similarity(pairs), n))
+
+
+def test_nearest_items_by_split(spark, random_pairs):
+    parts = [table(spark, {c: i for c, i in random_pairs.items() if c % 2 == k}).selectExpr(f"{k} AS split_id", "*") for k in (0, 1)]
+    pairs = parts[0].unionByName(parts[1])
+    found = nearest_items(pairs, 3, ["split_id"], cell_pairs=100)
+    for k in (0, 1):
+        one = nearest_items(parts[k].drop("split_id"), 3)
+        assert plain(found.where(f"split_id = {k}")) == plain(one)
+    near = nearest_items(pairs, 3, ["split_id"])
+    scores = candidate_scores(pairs, near, ["split_id"], cell_pairs=200)
+    for k in (0, 1):
+        own = candidate_scores(parts[k].drop("split_id"), near.where(f"split_id = {k}").drop("split_id"))
+        got = {(r.customer_id, r.stock_code): r.score for r in scores.where(f"split_id = {k}").collect()}
+        assert got == pytest.approx({(r.customer_id, r.stock_code): r.score for r in own.collect()})
+
+
+def test_a_large_basket_of_rare_items_is_not_expanded(spark):
+    """A guest account holds 600 items that hardly anyone else buys: 360,000 pairs, of which few are counted."""
+    items = [f"{k:04d}" for k in range(600)]
+    bought = {0: items} | {c: [items[c], items[c + 1], "popular"] for c in range(1, 40)}
+    pairs = table(spark, bought)
+    _, _, work = cells(pairs, 5)
+    counted = work.selectExpr("sum(size(targets) * size(others))").first()[0]
+    assert counted < 360_000 / 8
+    assert plain(nearest_items(pairs, 5)) == plain(baskets.item_neighbors(baskets.item_similarity(pairs), 5))
+
+
+def test_no_pairs_give_no_neighbors(spark):
+    empty = spark.createDataFrame([], "customer_id long, stock_code string")
+    assert nearest_items(empty, 3).count() == 0
+    assert nearest_items(table(spark, {1: ["a"], 2: ["b"]}), 3).count() == 0
+    near = spark.createDataFrame([], "item string, neighbor string")
+    assert candidate_scores(table(spark, {1: ["a"]}), near).count() == 0
+
+
+def test_dense_index_follows_the_order(spark):
+    values = spark.createDataFrame([(v,) for v in ["b", "a", None, "a", "é", "B", "10", "9"] * 3], "v string").repartition(5)
+    found = {r.v: r["index"] for r in dense_index(values, "v").collect()}
+    assert found == {v: i for i, v in enumerate([None, "10", "9", "B", "a", "b", "é"])}

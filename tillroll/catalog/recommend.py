@@ -7,9 +7,11 @@ from tillroll.catalog.customers import customer_lines
 from tillroll.catalog.oracle_base import CUSTOMER, INVOICES, with_ctes
 from tillroll.catalog.registry import query
 from tillroll.operators import baskets, recommend, sampling
+from tillroll.operators.neighbors import nearest_items
+from tillroll.operators.scores import candidate_scores
 from tillroll.session import settle
 
-NEIGHBORS = 5
+NEIGHBORS = 15
 SPLITS = (1, 2, 3, 4, 5)
 BY = ["split_id"]
 
@@ -38,7 +40,7 @@ edges AS (
     JOIN buyers y ON y.split_id = t.split_id AND y.stock_code = neighbor),
 near AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY split_id, item
-                   ORDER BY round(similarity, 9) DESC, neighbor) AS place FROM edges) WHERE place <= 5)"""
+                   ORDER BY round(similarity, 9) DESC, neighbor) AS place FROM edges) WHERE place <= 15)"""
 SCORES = """
 candidates AS (
   SELECT DISTINCT p.split_id, p.customer_id, neighbor AS stock_code
@@ -61,7 +63,7 @@ scores AS (
          CAST(what % 100000000 AS VARCHAR) AS stock_code, score FROM sums),
 top AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY split_id, customer_id
-                   ORDER BY round(score, 9) DESC, stock_code) AS place FROM scores) WHERE place <= 5)"""
+                   ORDER BY round(score, 9) DESC, stock_code) AS place FROM scores) WHERE place <= 15)"""
 WHOLE = (*CUSTOMER, PAIRS, ONE_SPLIT, EDGES, SCORES)
 RATES = """
 rates AS (
@@ -74,7 +76,7 @@ SPLIT_RATES = (*CUSTOMER, PAIRS, HOLDOUT, EDGES, SCORES, RATES)
 
 
 def top_sql(key, value, table):
-    places = ", ".join(f"max(CASE WHEN place = {k} THEN {value} END) AS top_{k}" for k in range(1, 6))
+    places = ", ".join(f"max(CASE WHEN place = {k} THEN {value} END) AS top_{k}" for k in range(1, 16))
     return f"SELECT {key}, {places} FROM {table} GROUP BY {key}"
 
 
@@ -83,13 +85,12 @@ def bought_pairs(spark, sf_dir):
 
 
 def near_items(spark, sf_dir):
-    return baskets.item_neighbors(baskets.item_similarity(bought_pairs(spark, sf_dir)), NEIGHBORS)
+    return nearest_items(bought_pairs(spark, sf_dir), NEIGHBORS)
 
 
 def scored(spark, sf_dir):
     pairs = bought_pairs(spark, sf_dir)
-    edges = settle(baskets.item_similarity(pairs))
-    return recommend.recommendation_scores(pairs, edges, baskets.item_neighbors(edges, NEIGHBORS))
+    return candidate_scores(pairs, settle(nearest_items(pairs, NEIGHBORS)))
 
 
 def best(spark, sf_dir):
@@ -154,14 +155,14 @@ def neighbors_query(spark, sf_dir):
 )
 def candidates_query(spark, sf_dir):
     pairs = bought_pairs(spark, sf_dir)
-    near = baskets.item_neighbors(baskets.item_similarity(pairs), NEIGHBORS)
+    near = nearest_items(pairs, NEIGHBORS)
     return recommend.candidate_items(pairs, near)
 
 
 @query("exclude_purchased", with_ctes(*WHOLE) + "SELECT customer_id, stock_code FROM members WHERE NOT has")
 def new_candidates(spark, sf_dir):
     pairs = bought_pairs(spark, sf_dir)
-    near = baskets.item_neighbors(baskets.item_similarity(pairs), NEIGHBORS)
+    near = nearest_items(pairs, NEIGHBORS)
     candidates = recommend.candidate_items(pairs, near)
     return recommend.exclude_purchased(candidates, pairs)
 
@@ -261,7 +262,7 @@ def carts_query(spark, sf_dir):
     carts = table.select(
         F.col("invoice").alias("cart_id"), "stock_code", F.col("stock_code").alias("position")
     ).distinct()
-    neighbors = baskets.item_neighbors(baskets.item_similarity(settle(baskets.customer_item_pairs(table))), NEIGHBORS)
+    neighbors = nearest_items(settle(baskets.customer_item_pairs(table)), NEIGHBORS)
     return recommend.cart_recommendations(carts, neighbors)
 
 
@@ -278,9 +279,7 @@ def held_out(spark, sf_dir):
 def split_rates(spark, sf_dir):
     train, test = sampling.holdout_items(bought_pairs(spark, sf_dir), splits=SPLITS, seed=7)
     train = settle(train)
-    edges = settle(baskets.item_similarity(train, BY))
-    near = baskets.item_neighbors(edges, NEIGHBORS, BY)
-    scores = recommend.recommendation_scores(train, edges, near, BY)
+    scores = candidate_scores(train, settle(nearest_items(train, NEIGHBORS, BY)), BY)
     return recommend.hit_rates(test, recommend.top_recommendations(scores, NEIGHBORS, BY), BY)
 
 
@@ -300,12 +299,14 @@ def reciprocal_hits(spark, sf_dir):
     )
 
 
-@query(
-    "mean_over_splits",
+MEAN_RATES = (
     with_ctes(*SPLIT_RATES)
     + """SELECT round(avg(hit_rate), 9) AS hit_rate, round(avg(reciprocal_hit_rate), 9) AS reciprocal_hit_rate
-FROM rates""",
+FROM rates"""
 )
+
+
+@query("mean_over_splits", MEAN_RATES)
 def mean_rates(spark, sf_dir):
     rates = recommend.mean_over_splits(split_rates(spark, sf_dir))
     return rates.select(*[F.round(c, 9).alias(c) for c in rates.columns])

@@ -5,9 +5,10 @@ cos(a, b) = together / sqrt(n_a n_b), where n is the number of buyers. Not all p
 * A basket holds its items in the order of their buyers. Any basket of a with more than n items gives a
   n neighbors that share one buyer at least, so the n-th best cosine of a is at least 1 / sqrt(n_a m_a),
   where m_a is the least (n+1)-th smallest number of buyers in a's baskets. That takes no pairs to know.
-* together is at most n_a, so b can enter a's list only if n_b <= m_a n_a^2. The items of a basket that a
-  has to meet are thus a prefix of it, and for an item with few buyers, the long tail of a catalogue, a
-  short one, however large the basket.
+* together is at most n_a, so b can enter a's list only if n_b <= m_a n_a^2; of those with just as many buyers
+  only the ones in code order up to that (n+1)-th item. The items of a basket that a has to meet are thus a
+  prefix of it, and for an item with few buyers, the long tail of a catalogue, a short one, however large the
+  basket.
 
 What is left is counted row by row of the similarity matrix, and never as rows of a table: items are dealt
 to cells by their work (the sizes of their baskets), an item with more work than a cell takes has several
@@ -27,72 +28,91 @@ from tillroll.operators.dictionary import dense_index
 from tillroll.session import settle
 
 #: Pairs that a cell counts, on average; items of a basket that travel together.
-CELL_PAIRS, SLICE_ITEMS = 1_000_000, 4096
+CELL_PAIRS, SLICE_ITEMS = 2_000_000, 4096
+#: Items of a basket from which targets travel apart by their bounds, so that a wide bound does not widen others.
+LARGE_BASKET = 64
+#: Below this product of buyers, cosines of other numbers of buyers differ by more than their rounding.
+DISTINCT_NORM = 1e5
 
 
 def _bounds(bought: DataFrame, n: int, by: list) -> DataFrame:
-    """by, customer_id, size, reach: items of each basket and the (n+1)-th smallest number of buyers in it."""
+    """by, customer_id, size, reach: items of each basket, and buyers and index of the (n+1)-th in that order."""
     basket = [*by, "customer_id"]
     # the least n+1 are kept in each task before the shuffle
     place = F.row_number().over(Window.partitionBy(*basket).orderBy("buyers", "index"))
     last = bought.withColumn("place", place).where(F.col("place") <= n + 1).where(F.col("place") == n + 1)
     sizes = bought.groupBy(*basket).agg(F.count("*").alias("size"))
-    return sizes.join(last.select(*basket, F.col("buyers").alias("reach")), basket, "left")
+    return sizes.join(last.select(*basket, F.struct("buyers", "index").alias("reach")), basket, "left")
 
 
-def cells(pairs: DataFrame, n: int, by: Sequence[str] = (), cell_pairs: int = CELL_PAIRS, slice_items: int = SLICE_ITEMS):
-    """(items, rows): by, stock_code, index, buyers of each item, and the work: targets and the items they meet.
+def cells(pairs: DataFrame, n: int | None, by: Sequence[str] = (), cell_pairs: int = CELL_PAIRS, slice_items: int = SLICE_ITEMS):
+    """(items, dealt, rows): the catalogue, the cells of its items, and the work: targets and the items they meet.
 
-    rows: by, block, part, targets (index, buyers, most buyers of a neighbor), others (buyers, index).
+    items: by, stock_code, index, buyers. dealt: by, index, block, parts; a block beyond the first `blocks` is one
+    item's own. rows: by, block, part, targets (index, buyers, bound of a neighbor's), others (buyers, index).
+    Without n nothing is pruned: every item meets the whole of its baskets.
     """
-    by = list(by)
+    by, spark = list(by), pairs.sparkSession
     basket = [*by, "customer_id"]
     codes = dense_index(pairs, "stock_code")
     items = settle(pairs.groupBy(*by, "stock_code").agg(F.count("*").alias("buyers")).join(codes, "stock_code"))
     bought = settle(pairs.join(items, [*by, "stock_code"]).select(*basket, "index", "buyers"))
-    baskets = settle(_bounds(bought, n, by))
+    baskets = settle(_bounds(bought, n, by) if n else bought.groupBy(*basket).agg(F.count("*").alias("size"), F.lit(None).cast("struct<buyers:long,index:long>").alias("reach")))
     total = baskets.agg(F.sum(F.col("size").cast("double") * F.col("size"))).first()[0] or 0
-    n_blocks = max(1, math.ceil(total / cell_pairs))
-    # an infinite bound where no basket has n other items; the factor covers rounding of the cosines
-    most = F.coalesce(F.min("reach") * F.max("buyers") * F.max("buyers") * 1.000001, F.lit(float("inf")))
+    n_blocks = max(2 * spark.sparkContext.defaultParallelism, math.ceil(total / cell_pairs))
     known = bought.join(baskets, basket)
-    work = known.groupBy(*by, "index").agg(F.sum("size").alias("cost"), most.alias("most"))
+    work = known.groupBy(*by, "index").agg(F.sum("size").alias("cost"), F.min("reach").alias("reach"), F.max("buyers").alias("own"))
+    exact = F.col("reach.buyers").cast("double") * F.col("own") * F.col("own")
+    norm = F.col("own") * exact
+    # an infinite bound where no basket has n other items; room for rounding where cosines lie close
+    most = F.when(F.col("reach").isNull(), float("inf")).when(norm < DISTINCT_NORM, exact).otherwise(exact * (1 + 1e-8 * F.sqrt(norm)))
+    last = F.when(norm < DISTINCT_NORM, F.col("reach.index")).otherwise(F.lit(2**62))
+    work = work.select(*by, "index", "cost", F.struct(most.alias("buyers"), last.alias("index")).alias("bound"))
     parts = F.greatest(F.ceil(F.col("cost") / F.lit(cell_pairs)), F.lit(1)).cast("int")
     block = F.when(F.col("parts") > 1, F.col("index") + n_blocks).otherwise(F.pmod(F.xxhash64("index"), F.lit(n_blocks)))
-    dealt = work.withColumn("parts", parts).withColumn("block", block).drop("cost")
+    dealt = settle(work.withColumn("parts", parts).withColumn("block", block).drop("cost"))
 
     n_slices = F.ceil(F.col("size") / F.lit(slice_items)).cast("int")
     slice_of = F.pmod(F.xxhash64("index"), n_slices).cast("int").alias("slice")
     slices = known.groupBy(*basket, slice_of).agg(F.sort_array(F.collect_list(F.struct("buyers", "index"))).alias("others"))
     numbers = F.explode(F.sequence(F.lit(0), n_slices - 1)).alias("slice")
-    targets = known.join(dealt, [*by, "index"]).groupBy(*basket, "block", "parts", "size")
-    targets = targets.agg(F.collect_list(F.struct("index", "buyers", "most")).alias("targets"))
+    like = F.when(F.col("size") > LARGE_BASKET, F.floor(F.log(4.0, F.least(F.col("bound.buyers"), F.lit(1e18))))).otherwise(0)
+    targets = known.join(dealt, [*by, "index"]).groupBy(*basket, "block", "parts", "size", like.alias("like"))
+    targets = targets.agg(F.collect_list(F.struct("index", "buyers", "bound")).alias("targets"))
     met = targets.select(*basket, "block", "parts", "targets", numbers).join(slices, [*basket, "slice"])
-    widest = F.array_max(F.transform("targets", lambda t: t["most"]))
-    met = met.withColumn("widest", widest).withColumn("others", F.expr("filter(others, o -> o.buyers <= widest)"))
+    widest = F.array_max(F.transform("targets", lambda t: t["bound"]))
+    within = "filter(others, o -> o.buyers < widest.buyers OR o.buyers = widest.buyers AND o.index <= widest.index)"
+    met = met.withColumn("widest", widest).withColumn("others", F.expr(within))
     own = F.explode(F.array_distinct(F.expr("transform(others, o -> cast(o.index % parts as int))")))
     rows = met.select(*by, "block", "parts", "targets", "others", own.alias("part"))
     rows = rows.withColumn("others", F.expr("CASE WHEN parts = 1 THEN others ELSE filter(others, o -> o.index % parts = part) END"))
-    return items, rows.select(*by, "block", "part", "targets", "others")
+    return items, dealt, rows.select(*by, "block", "part", "targets", "others")
 
 
-def _count(table: pa.Table, n: int, by: list) -> pa.Table:
-    """The n best neighbors of each target of a cell."""
+def _together(table: pa.Table):
+    """(items, item, neighbor, similarity): the pairs of a cell with their cosines, in the order of items and neighbors."""
     targets, others = (table[name].combine_chunks() for name in ("targets", "others"))
     (target, t_sizes), (other, o_sizes) = ((side.flatten(), side.value_lengths().to_numpy().astype(np.int64)) for side in (targets, others))
-    a, a_buyers, a_most = (target.field(name).to_numpy() for name in ("index", "buyers", "most"))
+    a, a_buyers = (target.field(name).to_numpy() for name in ("index", "buyers"))
+    most, last = (target.field("bound").field(name).to_numpy() for name in ("buyers", "index"))
     b, b_buyers = other.field("index").to_numpy(), other.field("buyers").to_numpy()
     names, first, local = np.unique(a, return_index=True, return_inverse=True)
     others, b_first, b = np.unique(b, return_index=True, return_inverse=True)
     width = np.repeat(o_sizes, t_sizes)  # each target of a row meets the row's others
     start = np.repeat(np.cumsum(o_sizes) - o_sizes, t_sizes)
     right = np.arange(width.sum()) + np.repeat(start - np.cumsum(width) + width, width)
-    met, met_buyers = b[right], b_buyers[right]
-    wanted = (others[met] != np.repeat(a, width)) & (met_buyers <= np.repeat(a_most, width))
+    met, buyers, limit = b[right], b_buyers[right], np.repeat(most, width)
+    within = (buyers < limit) | ((buyers == limit) & (others[met] <= np.repeat(last, width)))
+    wanted = (others[met] != np.repeat(a, width)) & within
     key, together = np.unique((np.repeat(local * len(others), width) + met)[wanted], return_counts=True)
     item, met = np.divmod(key, max(1, len(others)))
-    neighbor = others[met]
     similarity = together / np.sqrt(a_buyers[first][item].astype(float) * b_buyers[b_first][met])
+    return names, item, others[met], similarity
+
+
+def _count(table: pa.Table, n: int, by: list) -> pa.Table:
+    """The n best neighbors of each target of a cell."""
+    names, item, neighbor, similarity = _together(table)
     order = np.lexsort((neighbor, -np.round(similarity, 9), item))
     ranked = item[order]
     best = order[np.arange(len(order)) - np.searchsorted(ranked, ranked) < n]
@@ -110,7 +130,7 @@ def nearest_items(pairs: DataFrame, n: int, by: Sequence[str] = (), cell_pairs:
     have fewer than n, or none. An empty table gives an empty result.
     """
     by = list(by)
-    items, rows = cells(pairs, n, by, cell_pairs, slice_items)
+    items, _, rows = cells(pairs, n, by, cell_pairs, slice_items)
     types = dict(items.dtypes)
     schema = ", ".join([*[f"{name} {types[name]}" for name in by], "index long, other long, similarity double"])
     best = rows.groupBy(*by, "block", "part").applyInArrow(lambda table: _count(table, n, by), schema)

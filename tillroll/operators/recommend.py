@@ -1,31 +1,10 @@
-"""Item-based recommendations.
+"""Item-based recommendations from neighbors and scores (operators/neighbors.py, operators/scores.py)."""
 
-For a customer with purchases P, the candidate set U holds the neighbors of P. A
-candidate i outside P scores
-
-    sum of similarity(i, j) over j in U and P  /  sum of similarity(i, j) over j in U.
-
-The sums need similarities of all pairs inside U. Those pairs are never rows: the edges
-are cut into item blocks, a customer's U travels as one array to the blocks that hold
-its candidates, and each block adds up the similarities with numpy while the customers
-stream past it.
-"""
-
-import math
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, Window
 
 from tillroll.operators.lookups import keyed_lookup
-from tillroll.session import settle
-
-BLOCK_ITEMS = 1024
-MEMBERS_PER_ROW = 1024
-CUSTOMERS_PER_SALT = 250_000
-
 
 def candidate_items(pairs: DataFrame, neighbors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Distinct neighbors of a customer's items, bought ones included."""
@@ -42,170 +21,6 @@ def exclude_purchased(candidates: DataFrame, pairs: DataFrame, by: Sequence[str]
     return candidates.join(pairs, [*by, "customer_id", "stock_code"], "left_anti")
 
 
-def recommendation_scores(
-    pairs: DataFrame,
-    edges: DataFrame,
-    neighbors: DataFrame,
-    by: Sequence[str] = (),
-    block_items: int = BLOCK_ITEMS,
-    members_per_row: int = MEMBERS_PER_ROW,
-    customers_per_salt: int = CUSTOMERS_PER_SALT,
-) -> DataFrame:
-    """Score of every item a customer has not bought but whose neighbor they bought.
-
-    ``pairs`` and ``edges`` are read several times: pass stored tables.
-    """
-    by = list(by)
-    bought = pairs.select(*by, "customer_id", "stock_code").withColumn("bought", F.lit(True))
-    members = settle(
-        candidate_items(pairs, neighbors, by)
-        .join(bought, [*by, "customer_id", "stock_code"], "left")
-        .withColumn("bought", F.coalesce("bought", F.lit(False)))
-    )
-    n_items, n_customers = pairs.agg(
-        F.approx_count_distinct("stock_code"), F.approx_count_distinct("customer_id")
-    ).first()
-    n_blocks = max(1, math.ceil(n_items / block_items))
-    n_salts = max(1, math.ceil(n_customers / customers_per_salt))
-    n_parts = max(1, math.ceil(n_items / members_per_row))
-
-    block = F.pmod(F.xxhash64("item"), F.lit(n_blocks)).alias("block")
-    sizes = F.count("*").over(Window.partitionBy(*by, "customer_id"))
-    sized = members.withColumn("n_rows", F.ceil(sizes / F.lit(members_per_row)))
-    row = F.pmod(F.xxhash64("stock_code"), F.col("n_rows")).alias("row")
-    rows = sized.groupBy(*by, "customer_id", "n_rows", row).agg(
-        F.collect_list(F.struct("stock_code", "bought")).alias("members")
-    )
-    wanted = (
-        sized.where(~F.col("bought"))
-        .withColumnRenamed("stock_code", "item")
-        .groupBy(*by, "customer_id", "n_rows", block)
-        .agg(F.collect_list("item").alias("candidates"))
-    )
-    # most customers have one row of members; for the others the product of blocks and
-    # rows is spread by (customer, block) and then by (customer, row)
-    same = [*by, "customer_id", "n_rows"]
-    few = wanted.where("n_rows = 1").join(rows.where("n_rows = 1").drop("row"), same)
-    many = (
-        wanted.where("n_rows > 1")
-        .repartition(*by, "customer_id", "block")
-        .withColumn("row", F.explode(F.expr("sequence(0L, n_rows - 1)")))
-        .join(rows.where("n_rows > 1"), [*same, "row"])
-        .drop("row")
-    )
-    salt = F.pmod(F.xxhash64("customer_id"), F.lit(n_salts)).alias("salt")
-    customers = few.unionByName(many).select(*by, "block", salt, "customer_id", "candidates", "members")
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_salts - 1).cast("long"))).alias("salt")
-    adjacency = (
-        edges.groupBy(*by, "item", F.pmod(F.xxhash64("neighbor"), F.lit(n_parts)).alias("part"))
-        .agg(F.collect_list(F.struct("neighbor", "similarity")).alias("near"))
-        .select(*by, block, copies, "item", "near")
-    )
-    # one whole number orders the stream: split, block, salt, and edges before customers.
-    # The other side's lists are empty, not null: null lists are very slow on their way to Arrow.
-    split = F.col(by[0]).cast("long") if by else F.lit(0)
-    cell = (split * n_blocks + F.col("block")) * n_salts + F.col("salt")
-    types = dict(customers.dtypes) | dict(adjacency.dtypes)
-    empty = {c: F.array().cast(types[c]).alias(c) for c in ("candidates", "members", "near")}
-    stream = (
-        customers.select(cell.alias("cell"), (cell * 2 + 1).alias("place"), *by, "customer_id",
-                         F.lit("").alias("item"), "candidates", "members", empty["near"])
-        .unionByName(
-            adjacency.select(cell.alias("cell"), (cell * 2).alias("place"), *by, F.lit(0).cast(types["customer_id"]).alias("customer_id"),
-                             "item", empty["candidates"], empty["members"], "near")
-        )
-        .repartition("cell")
-        .sortWithinPartitions("place")
-    )
-    schema = ", ".join(
-        [f"{c} {types[c]}" for c in (*by, "customer_id")] + ["stock_code string", "near double", "total double"]
-    )
-    partial = stream.mapInArrow(_block_scorer(by), schema)
-    # an item's sums come in as many parts as the customer's members have rows
-    return (
-        partial.groupBy(*by, "customer_id", "stock_code")
-        .agg(F.sum("near").alias("near"), F.sum("total").alias("total"))
-        .where(F.col("total") > 0)
-        .select(*by, "customer_id", "stock_code", (F.col("near") / F.col("total")).alias("score"))
-    )
-
-
-def _block_scorer(by):
-    carried = [*by, "customer_id"]
-
-    def score(batches):
-        cell, parts, block = None, [], None
-        for batch in batches:
-            place = batch["place"].to_numpy()
-            changes = np.flatnonzero(place[1:] != place[:-1]) + 1
-            for start, stop in zip([0, *changes], [*changes, len(place)]):
-                run = batch.slice(start, stop - start)
-                if place[start] // 2 != cell:
-                    cell, parts, block = place[start] // 2, [], None
-                if place[start] % 2 == 0:
-                    parts.append(run.select(["item", "near"]))
-                elif parts:
-                    block = block or _EdgeBlock(pa.Table.from_batches(parts).combine_chunks())
-                    yield block.score(run, carried)
-
-    return score
-
-
-class _EdgeBlock:
-    """Edges of some items, laid out densely for one item at a time."""
-
-    def __init__(self, adjacency):
-        item, near = adjacency["item"].combine_chunks(), adjacency["near"].combine_chunks()
-        near, sizes = _flat(near)
-        self.items = pc.unique(item)
-        self.vocabulary = pc.unique(near.field("neighbor"))
-        row = np.repeat(pc.index_in(item, value_set=self.items).to_numpy(), sizes)
-        order = np.argsort(row, kind="stable")
-        self.neighbor = pc.index_in(near.field("neighbor"), value_set=self.vocabulary).to_numpy()[order]
-        self.similarity = near.field("similarity").to_numpy()[order]
-        self.starts = np.searchsorted(row[order], np.arange(len(self.items) + 1))
-
-    def score(self, rows, carried):
-        """Sums per customer row and candidate item: near over bought members, total over all."""
-        members, sizes = _flat(rows["members"])
-        column = pc.index_in(members.field("stock_code"), value_set=self.vocabulary)
-        # members without an edge in this block point at a last, always empty, column
-        column = pc.fill_null(column, len(self.vocabulary)).to_numpy()
-        bought = pc.cast(members.field("bought"), pa.float64()).to_numpy()
-        ends = np.cumsum(sizes)
-
-        wanted, counts = _flat(rows["candidates"])
-        item = pc.index_in(wanted, value_set=self.items)
-        known = item.is_valid().to_numpy(zero_copy_only=False)
-        row = np.repeat(np.arange(len(sizes)), counts)[known]
-        item = item.drop_null().to_numpy()
-        order = np.argsort(item, kind="stable")
-        row, item = row[order], item[order]
-        bounds = np.searchsorted(item, np.arange(len(self.items) + 1))
-        near, total = np.zeros(len(row)), np.zeros(len(row))
-        dense = np.zeros(len(self.vocabulary) + 1)
-        for i in np.unique(item):
-            edge = slice(self.starts[i], self.starts[i + 1])
-            dense[self.neighbor[edge]] = self.similarity[edge]
-            mine = slice(bounds[i], bounds[i + 1])
-            length = sizes[row[mine]]
-            first = np.cumsum(length) - length
-            # positions of all members of the customers that want item i
-            at = np.arange(length.sum()) + np.repeat(ends[row[mine]] - length - first, length)
-            weight = dense[column[at]]
-            total[mine] = np.add.reduceat(weight, first)
-            near[mine] = np.add.reduceat(weight * bought[at], first)
-            dense[self.neighbor[edge]] = 0.0
-        columns = [rows[c].take(pa.array(row)) for c in carried]
-        columns += [self.items.take(pa.array(item)), pa.array(near), pa.array(total)]
-        return pa.RecordBatch.from_arrays(columns, names=[*carried, "stock_code", "near", "total"])
-
-
-def _flat(lists):
-    """Values of all lists, and the length of each."""
-    return lists.flatten(), pc.list_value_length(lists).to_numpy().astype(np.int64)
-
-
 def top_recommendations(scores: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:
     """The ``n`` best scored items per customer; equal scores in code order."""
     order = Window.partitionBy(*by, "customer_id").orderBy(F.desc(F.round("score", 9)), "stock_code")
