@@ -25,6 +25,30 @@ C489435,79323P,,-2,2009-12-01 07:46:00,6.75,,United Kingdom
 """
 
 
+def test_csv_scan_by_header(spark, tmp_path):
+    path = tmp_path / "other.csv"
+    path.write_text(
+        'StockCode,Note,Quantity,Price,Invoice,CustomerID,InvoiceDate,Description\n'
+        '85048,x,"1",2.5,489434,13085.0,2009-12-01 07:45:00,"LARGE 12"" BOX, RED"\n22,y,-3,0.1,C1,,2009-12-01 07:46:00,"two\nlines"\n'
+    )
+    found = scan_invoices(spark, str(path), multi_line=True).orderBy("stock_code").collect()
+    assert [(r.invoice, r.stock_code, r.description, r.quantity, r.price, r.customer_id, r.country) for r in found] == [
+        ("C1", "22", "two\nlines", -3, 0.1, None, None), ("489434", "85048", 'LARGE 12" BOX, RED', 1, 2.5, 13085, None),
+    ]
+
+
+@pytest.mark.parametrize("bad", ["twelve", "1.5"])
+def test_csv_scan_refuses_what_it_cannot_read(spark, tmp_path, bad):
+    path = tmp_path / "bad.csv"
+    path.write_text(CSV.replace(",12,", f",{bad},"))
+    with pytest.raises(Exception, match="Quantity: cannot read"):
+        scan_invoices(spark, str(path)).collect()
+    path = tmp_path / "short.csv"
+    path.write_text(CSV.replace("StockCode", "Code"))
+    with pytest.raises(KeyError, match="StockCode"):
+        scan_invoices(spark, str(path))
+
+
 def test_csv_scan(spark, tmp_path):
     path = tmp_path / "lines.csv"
     path.write_text(CSV)

@@ -135,7 +135,7 @@ def test_latest_description(spark):
 
 
 def test_matrix(spark):
-    wide = baskets.customer_item_matrix(table(spark, {1: ["a"], 2: ["a", "b"]}))
+    wide = baskets.customer_item_matrix(table(spark, {1: ["a"], 2: ["a", "b"]}), ["a", "b"])
     assert rows(wide, "customer_id", "a", "b") == [(1, 1, 0), (2, 1, 1)]
 
 
@@ -188,3 +188,15 @@ def test_dense_index_follows_the_order(spark):
     values = spark.createDataFrame([(v,) for v in ["b", "a", None, "a", "é", "B", "10", "9"] * 3], "v string").repartition(5)
     found = {r.v: r["index"] for r in dense_index(values, "v").collect()}
     assert found == {v: i for i, v in enumerate([None, "10", "9", "B", "a", "b", "é"])}
+
+
+def test_matrix_coordinates_and_listed_codes(spark, random_pairs):
+    items, matrix, *_ = dense(random_pairs)
+    found = baskets.customer_item_matrix(table(spark, random_pairs)).collect()
+    order = {c: k for k, c in enumerate(sorted(random_pairs))}
+    got = np.zeros_like(matrix)
+    for row in found:
+        got[order[row.customer_id], row.item_index] += row.value
+    assert (got == matrix).all()
+    wide = baskets.customer_item_matrix(table(spark, random_pairs), ["003", "absent"]).collect()
+    assert {(r.customer_id, r["003"], r["absent"]) for r in wide} == {(c, int("003" in i), 0) for c, i in random_pairs.items()}

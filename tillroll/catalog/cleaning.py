@@ -7,8 +7,9 @@ from tillroll.catalog.registry import query
 from tillroll.functions.amounts import abs_quantity, line_total
 from tillroll.functions.dates import normalize_invoice_date, parse_invoice_date, quarter_bounds
 from tillroll.operators import cleaning, sales
-from tillroll.schema import NON_CUSTOMER_CODES
-from tillroll.sources.invoices import order_invoice_lines
+from tillroll.schema import COLUMN_NAMES, NON_CUSTOMER_CODES
+from tillroll.session import new_path
+from tillroll.sources.invoices import order_invoice_lines, scan_invoices
 
 
 def lines(spark, sf_dir, **columns):
@@ -33,11 +34,18 @@ def line_columns(df):
 
 @query(
     "scan_invoices",
-    with_ctes(INVOICES) + f"SELECT {LINE_SQL}, description, country FROM invoices",
+    with_ctes(INVOICES)
+    + f"""SELECT {LINE_SQL}, 'the "' || description || '", ' || stock_code AS description, country FROM invoices""",
 )
 def scan(spark, sf_dir):
+    """All lines written as CSV files, columns in another order and texts with quotes and commas, and read back."""
     df = lines(spark, sf_dir, description=True, country=True)
-    return df.withColumn("invoice_date", text_time("invoice_date"))
+    told = F.concat(F.lit('the "'), "description", F.lit('", '), "stock_code")
+    df = df.withColumn("invoice_date", text_time("invoice_date")).withColumn("description", told)
+    headers = {new: old for old, new in COLUMN_NAMES.items() if old != "CustomerID"}
+    path = new_path(spark, "lines")
+    df.select(*[F.col(c).alias(headers[c]) for c in reversed(df.columns)]).write.csv(path, header=True, quote='"', escape='"')
+    return scan_invoices(spark, path).withColumn("quantity", F.col("quantity").cast("double"))
 
 
 @query(

@@ -1,5 +1,7 @@
 """SQL text shared by the oracles: the invoice view and the cleaned lines."""
 
+from tillroll.schema import NON_SALES_CODES
+
 INVOICES = """
 invoices AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS invoice,
@@ -22,7 +24,7 @@ invoices AS (
        JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   WHERE l_returnflag = 'R')"""
 
-SALES_CODES = "('ADJUST','ADJUST2','BANK CHARGES','C2','CRUK','DOT','M','POST','TEST001','TEST002')"
+SALES_CODES = "(" + ",".join(f"'{code}'" for code in NON_SALES_CODES) + ")"
 CUSTOMER_CODES = SALES_CODES[:-1] + ",'D')"
 
 
@@ -35,11 +37,14 @@ def kept(name, codes):
 def purchases(name, source):
     """Purchases of ``source`` that no cancellation follows within 14 whole days."""
     return f"""
+{name}_cancelled AS (
+  SELECT stock_code, abs(quantity) AS size, price, customer_id, list(DISTINCT invoice_date) AS moments
+  FROM {source} WHERE invoice LIKE 'C%' GROUP BY ALL),
 {name} AS (
-  SELECT * FROM {source} p WHERE invoice NOT LIKE 'C%' AND NOT EXISTS (
-    SELECT 1 FROM {source} c WHERE c.invoice LIKE 'C%' AND c.stock_code = p.stock_code
-      AND abs(c.quantity) = abs(p.quantity) AND c.price = p.price AND c.customer_id = p.customer_id
-      AND c.invoice_date >= p.invoice_date AND c.invoice_date < p.invoice_date + INTERVAL 15 DAY))"""
+  SELECT p.* FROM {source} p LEFT JOIN {name}_cancelled c ON c.stock_code = p.stock_code
+    AND c.size = abs(p.quantity) AND c.price = p.price AND c.customer_id = p.customer_id
+  WHERE invoice NOT LIKE 'C%' AND coalesce(len(list_filter(moments,
+    lambda m: m >= p.invoice_date AND m < p.invoice_date + INTERVAL 15 DAY)), 0) = 0)"""
 
 
 def with_ctes(*ctes):

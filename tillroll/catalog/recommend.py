@@ -113,7 +113,7 @@ def item_counts(spark, sf_dir):
 @query(
     "customer_item_matrix",
     with_ctes(*CUSTOMER, PAIRS)
-    + """PIVOT bought ON stock_code USING COALESCE(CAST(max(1) AS INTEGER), 0) GROUP BY customer_id""",
+    + """SELECT customer_id, dense_rank() OVER (ORDER BY stock_code) - 1 AS item_index, CAST(1 AS INTEGER) AS value FROM bought""",
 )
 def matrix(spark, sf_dir):
     return baskets.customer_item_matrix(bought_pairs(spark, sf_dir))

@@ -10,8 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, Window
 
+from tillroll.operators.dictionary import dense_index
+
 SLICE_ITEMS = 512
-MATRIX_COLUMNS = 10_000
 
 
 def customer_item_pairs(lines: DataFrame) -> DataFrame:
@@ -23,13 +24,16 @@ def items_per_customer(pairs: DataFrame) -> DataFrame:
 
 
 def customer_item_matrix(pairs: DataFrame, codes: Sequence[str] | None = None) -> DataFrame:
-    """0/1 table with one column per stock code, for export of a catalogue that fits in columns."""
-    if codes is None:
-        found = pairs.select("stock_code").distinct().orderBy("stock_code").limit(MATRIX_COLUMNS + 1).collect()
-        codes = [row.stock_code for row in found]
-    if len(codes) > MATRIX_COLUMNS:
-        raise ValueError(f"more than {MATRIX_COLUMNS} items: use the pair table instead of a matrix")
-    return pairs.groupBy("customer_id").pivot("stock_code", list(codes)).agg(F.max(F.lit(1))).fillna(0, list(codes))
+    """The 0/1 table of customers and items, as the coordinates of its ones: (customer_id, item_index, value).
+
+    Items are numbered in code order (dense_index), by no list on the driver, so a catalogue may have any size.
+    With ``codes`` the table is wide instead: a customer's row with a 0/1 column for each listed code.
+    """
+    if codes is not None:
+        wide = pairs.groupBy("customer_id").pivot("stock_code", list(codes)).agg(F.max(F.lit(1)))
+        return wide.fillna(0, list(codes))
+    numbered = pairs.join(dense_index(pairs, "stock_code"), "stock_code")
+    return numbered.select("customer_id", F.col("index").alias("item_index"), F.lit(1).alias("value"))
 
 
 def _slices(pairs: DataFrame, by: list[str], slice_items: int) -> DataFrame:

@@ -7,16 +7,23 @@ from tillroll.errors import DatasetNotFoundError
 from tillroll.schema import COLUMN_NAMES, INVOICE_SCHEMA
 
 
-def scan_invoices(spark: SparkSession, path: str) -> DataFrame:
+#: Headers that may be missing; the others must be there.
+OPTIONAL = {"Description", "Country"}
+
+
+def scan_invoices(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Read invoice lines from CSV (with header) or parquet and rename the columns.
 
+    CSV columns are found by their header, in any order; quotes inside a quoted text are doubled. With
+    ``multi_line`` a text may hold line breaks, and a file is then read by one task. Further columns are left
+    out. A missing header raises KeyError; a number that does not parse fails the job that reads it.
     The date stays as written; ``parse_invoice_date`` turns text into a timestamp.
     """
     try:
         if path.rstrip("/").endswith(".parquet"):
             lines = spark.read.parquet(path)
         else:
-            lines = spark.read.csv(path, schema=INVOICE_SCHEMA, header=True)
+            lines = _typed(spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multi_line))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise DatasetNotFoundError(path) from error
@@ -27,6 +34,28 @@ def scan_invoices(spark: SparkSession, path: str) -> DataFrame:
     return lines
 
 
+def _typed(raw: DataFrame) -> DataFrame:
+    """The columns of the schema, by name, from texts."""
+    if "Customer ID" not in raw.columns and "CustomerID" in raw.columns:
+        raw = raw.withColumnRenamed("CustomerID", "Customer ID")
+    missing = [f.name for f in INVOICE_SCHEMA if f.name not in raw.columns and f.name not in OPTIONAL]
+    if missing:
+        raise KeyError(f"the header lacks {missing}")
+
+    def column(name, kind):
+        if name not in raw.columns:
+            return F.lit(None).cast(kind).alias(name)
+        text = F.col(f"`{name}`")
+        if kind.typeName() == "string":
+            return text.alias(name)
+        value = text.try_cast("double")
+        value = value if kind.typeName() == "double" else F.when(value == F.floor(value), value).try_cast(kind)
+        unread = F.raise_error(F.concat(F.lit(f"{name}: cannot read "), text)).cast(kind)
+        return F.when(text.isNotNull() & (F.trim(text) != "") & value.isNull(), unread).otherwise(value).alias(name)
+
+    return raw.select(*[column(f.name, f.dataType) for f in INVOICE_SCHEMA])
+
+
 def order_invoice_lines(
     spark: SparkSession,
     sf_dir: str,
