@@ -70,3 +70,58 @@ def test_changed_and_cut_copies_are_found(spark):
     want |= {50: [1], 53: [2], 54: [3]}
     found = d.find_leaks(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(bench, "item_id long, text string")).collect()
     assert {r.doc_id: list(r.leaked_items) for r in found if r.leaked_items} == want
+
+
+def test_only_passages_that_may_hold_an_item_are_searched():
+    """The sums of ranges bound the scores: no passage with an item above the threshold is left out, few others come."""
+    draw = random.Random(4)
+    made = items(draw)
+    index = d.Index(made)
+    size = max(32, 2 * index.longest)
+    vocabulary = sorted(index.postings) + [f"x{i}" for i in range(600)]
+    searched = passages = 0
+    for _ in range(40):
+        words = draw.choices(vocabulary, k=draw.randint(1, 700))
+        if draw.random() < 0.6:
+            item = draw.choice(index.items)
+            at = draw.randint(0, len(words))
+            words[at:at] = item[1] + item[2]
+        near = dict(index.passages(words))
+        for at in range(0, max(1, len(words) - size // 2), size // 2):
+            terms = {w for w in words[at : at + size] if w in index.postings}
+            passages += 1
+            searched += at in near
+            assert near.get(at, terms) == terms
+            if index.retrieve(terms):
+                assert at in near
+    assert searched < passages / 2
+
+
+def test_blocks_repeated_items_and_items_without_an_id(spark):
+    draw = random.Random(11)
+    made = [(i, t) for i, t in items(draw, 40)]
+    bench = spark.createDataFrame([*made, made[3], (None, made[4][1]), (77, made[3][1])], "item_id long, text string")
+    rows = [(i, " ".join(["other"] * (i % 7)) + " " + made[i % 40][1] + " tail", "x") for i in range(80)] + [(None, made[3][1], "x")] * 2
+    docs = spark.createDataFrame(rows, SCHEMA)
+
+    def leaks(**sizes):
+        found = d.find_leaks(docs, bench, **sizes)
+        assert found.columns == [*docs.columns, "leaked_items"]
+        return sorted([(r.doc_id, tuple(r.leaked_items)) for r in found.collect()], key=str)
+
+    whole = leaks()
+    assert whole == leaks(block_items=15) == leaks(block_bytes=2000)
+    by_id = dict(whole)
+    assert by_id[3] == (3, 3, 77) == by_id[None] and by_id[4] == (4, None)
+
+
+def test_blocks_do_not_change_a_score():
+    draw = random.Random(12)
+    made = items(draw, 30)
+    whole = d.Index(made)
+    known = d.Statistics.of([q + a for _, q, a in whole.items])
+    parts = [d.Index(made[:11], known), d.Index(made[11:], known)]
+    for _ in range(200):
+        terms = set(draw.sample(sorted(whole.postings), 60))
+        found = [{p.items[i][0] for i in p.retrieve({t for t in terms if t in p.postings}, 0.3)} for p in parts]
+        assert {whole.items[i][0] for i in whole.retrieve(terms, 0.3)} == found[0] | found[1]
