@@ -1,5 +1,5 @@
 import random
-import re
+
 
 from pyspark.sql import functions as F
 
@@ -91,3 +91,39 @@ def test_empty(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     none = spark.createDataFrame([(1, None, "x", 1)], SCHEMA)
     assert minhash.near_duplicates(none).where(F.col("kept")).count() == 1
+
+
+def test_documents_without_a_number(spark):
+    """A null id shares a text, nearly shares one, and stands in a component of its own."""
+    draw = random.Random(6)
+    words = [f"w{i}" for i in range(120)]
+    text, tail, alone = " ".join(words), " ".join(words + ["tail"]), " ".join(draw.sample(words, 60))
+    rows = [(7, text), (None, text), (2, tail), (None, tail), (None, alone), (None, alone), (5, "other words entirely"), (5, "other words entirely")]
+    found = minhash.near_duplicates(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)).collect()
+    assert sorted([(r.doc_id, r.component_id, r.kept) for r in found], key=str) == sorted(
+        [(7, 2, False), (None, 2, False), (2, 2, True), (None, 2, False), (None, None, True), (None, None, True), (5, 5, True), (5, 5, True)], key=str
+    )
+
+
+def test_many_alike_but_unlinked_documents_give_no_pair_rows(spark):
+    """All share five sixths of their words with each other, at a similarity below the limit."""
+    draw = random.Random(2)
+    shared = [f"c{i}" for i in range(100)]
+    rows = [(i, " ".join(shared + [f"d{i}x{k}" for k in range(24)]), "x", 1) for i in range(120)]
+    rows += [(200 + i, rows[i][1] + " end", "x", 1) for i in range(6)]
+    draw.shuffle(rows)
+    found = sorted(map(tuple, minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    assert found == brute(rows)
+
+
+def test_a_bucket_returns_only_links_that_join_components():
+    texts = [" ".join([f"c{i}" for i in range(100)] + [f"d{k // 4}x{i}" for i in range(25 + k % 4)]) for k in range(40)]
+    made = [minhash.sketch(t) for t in texts]
+    frame = pd.DataFrame({
+        "bucket": made[0]["bands"][0], "key": [m["key"] for m in made], "root": [m["key"] for m in made], "n": [m["n"] for m in made], "block": 0, "lo": 0, "hi": 0,
+        "minima": [m["minima"] for m in made], "bands": [np.array([made[0]["bands"][0], *m["bands"][1:]], np.int64).tobytes() for m in made],
+        "shingles": [minhash.shingle_set(t).tobytes() for t in texts],
+    })
+    links = minhash._across(frame, 75)
+    assert len(links) == 30  # ten groups of four
+    assert len(minhash._across(frame.assign(root=[k // 4 for k in range(40)]), 75)) == 0

@@ -5,13 +5,16 @@ words than a shingle has, the whole sequence). Texts with equal sets form a clas
 classes go on. Minima of HASHES universal functions are cut into BANDS; classes that agree on a
 band share a bucket. Per bucket, each class is first checked against the smallest one, which is
 linear in its size. After components are known, only buckets that still hold several components
-are looked at again, in blocks, for pairs across components. Each pair has to agree on enough
-minima, then on the full sets. Pairs inside one component need no check, so no component is lost.
+are looked at again, in blocks: the classes travel with their sets, a task compares those of different
+components, joins components as it finds links, and returns only links that joined some, so no row
+is a pair that failed. Each pair has to agree on enough minima, then on the full sets; it is looked at in
+the first band that it shares. Pairs inside one component need no check, so no component is lost.
 
 A pair at the similarity limit is missed by all bands with probability (1 - 0.75^4)^32 = 5e-6.
 
 Texts without words or null texts have an empty set and link with nothing. Repeated rows share a
-class. A null doc_id is a document without a number; its component is that of its text.
+class. A null doc_id is a document without a number: it never is the smallest one of a component that has
+numbers, and the component of texts without any number is null. Columns other than doc_id and text do not matter.
 """
 
 import numpy as np
@@ -29,8 +32,8 @@ SHINGLE = 5
 HASHES, BANDS = 128, 32
 #: Least share of equal minima of a pair whose full sets are compared: 5 standard errors below 0.75.
 AGREEING = 0.55
-#: Classes of a bucket that are compared with each other in one step.
-BLOCK = 256
+#: Classes of a bucket, and shingles of them, that are compared with each other in one step, on average.
+BLOCK, BLOCK_SHINGLES = 256, 2_000_000
 #: Shingles that are hashed at a time.
 CHUNK = 512
 #: Shingles of the sets that a task remembers while it compares pairs (8 bytes each).
@@ -180,23 +183,31 @@ def components(spark, links: DataFrame) -> DataFrame:
 
 
 def _across(frame, percent):
-    """Pairs of a bucket's blocks in different components whose sizes allow a link and that agree on enough minima."""
-    frame = frame.drop_duplicates("key").assign(root=lambda f: pd.factorize(f["root"])[0])
+    """Links between different components of a bucket's two blocks, as many as join components.
+
+    A pair is compared if its sizes allow a link, its first shared band is this bucket's and enough of its minima agree.
+    """
+    frame = frame.drop_duplicates("key")
     low, high = frame["lo"].iloc[0], frame["hi"].iloc[0]
-    lefts, rights = frame[frame["block"] == low], frame[frame["block"] == high]
-    if not len(lefts) or not len(rights):
-        return pd.DataFrame({"a": [], "b": []}, dtype=object)
-    minima = np.stack([np.frombuffer(m, np.uint16) for m in rights["minima"]])
-    keys, roots, sizes = rights["key"].to_numpy(), rights["root"].to_numpy(), rights["n"].to_numpy()
-    out = []
-    for at, (key, root, n, own) in enumerate(zip(lefts["key"], lefts["root"], lefts["n"], lefts["minima"])):
-        wanted = (roots != root) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
-        if low == high:
-            wanted[: at + 1] = False
-        places = np.flatnonzero(wanted)
-        same = np.count_nonzero(minima[places] == np.frombuffer(own, np.uint16), axis=1)
-        out += [(min(key, keys[i]), max(key, keys[i])) for i in places[same >= AGREEING * HASHES]]
-    return pd.DataFrame(out, columns=["a", "b"])
+    keys, sizes, block = frame["key"].to_numpy(), frame["n"].to_numpy(), frame["block"].to_numpy()
+    component = pd.factorize(frame["root"])[0]
+    minima = np.stack([np.frombuffer(m, np.uint16) for m in frame["minima"]])
+    bands = np.stack([np.frombuffer(b, np.int64) for b in frame["bands"]])
+    sets, bucket, out = frame["shingles"].to_numpy(), frame["bucket"].iloc[0], []
+    own = np.argmax(bands[0] == bucket)  # the band of this bucket
+    rights = np.flatnonzero(block == high)
+    for at in np.flatnonzero(block == low):
+        others = rights[rights > at] if low == high else rights
+        fit = 100 * np.minimum(sizes[others], sizes[at]) >= percent * np.maximum(sizes[others], sizes[at])
+        others = others[fit & (component[others] != component[at])]
+        others = others[~(bands[others, :own] == bands[at, :own]).any(axis=1)]
+        others = others[np.count_nonzero(minima[others] == minima[at], axis=1) >= AGREEING * HASHES]
+        for other in others:
+            if component[other] != component[at]:
+                if similar(np.frombuffer(sets[at], np.uint64), np.frombuffer(sets[other], np.uint64), percent):
+                    component[component == component[other]] = component[at]
+                    out.append((min(keys[at], keys[other]), max(keys[at], keys[other])))
+    return pd.DataFrame(out, columns=["a", "b"], dtype=object)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -208,7 +219,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
     classes = settle(
         drawn.where("n > 0").groupBy("key").agg(
-            F.min(F.struct("doc_id", "content")).alias("first"), F.min("minima").alias("minima"), F.any_value("bands").alias("bands"), F.min("n").alias("n")
+            # numbered documents come before those without a number
+            F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "content")).alias("first"), F.min("minima").alias("minima"), F.any_value("bands").alias("bands"), F.min("n").alias("n")
         )
     )
     # buckets of several classes, each with its smallest class
@@ -220,7 +232,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     pairs = pairs.join(minima.select(F.col("key").alias("b"), F.col("minima").alias("right"), F.col("n").alias("n_b")), "b")
     pairs = pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     pairs = settle(pairs.where(_agree(F.col("left"), F.col("right"))).select("a", "b"))
-    links = settle(confirm(pairs, texts_of(base, classes, pairs), percent))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    links = settle(confirm(pairs, texts_of(base, classes, wanted), percent))
     roots = components(spark, links)
 
     # the rest: buckets in which several components meet
@@ -230,17 +243,24 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     met = rooted(rooted(members, "key", "root"), "centre", "centre_root")
     open_buckets = met.where("root != centre_root").select("bucket").distinct()
-    rest = met.join(open_buckets, "bucket", "left_semi").select("bucket", "key", "root")
-    sizes = rest.groupBy("bucket").agg(F.count("*").alias("size"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
-    rest = rest.join(sizes, "bucket").join(minima, "key").withColumn("blocks", blocks).where("size > 1")
-    rest = rest.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    dealt = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", "key", "root", "n", "minima", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    more = settle(dealt.groupBy("bucket", "lo", "hi").applyInPandas(lambda frame: _across(frame, percent), "a binary, b binary").distinct())
-    if not more.isEmpty():
-        found = confirm(more, texts_of(base, classes, more), percent)
-        roots = components(spark, links.unionByName(found))
+    rest = settle(met.join(open_buckets, "bucket", "left_semi").select("bucket", "key", "root"))
+    if not rest.isEmpty():
+        shingles = over_texts("binary", pa.binary(), lambda: lambda texts: [shingle_set(t).tobytes() for t in texts], raw=True)
+        bands = F.unhex(F.array_join(F.transform("bands", _little_endian), ""))
+        wanted = rest.select("key").distinct()
+        facts = classes.join(wanted, "key", "left_semi").select("key", "minima", "n", bands.alias("bands"))
+        facts = settle(facts.join(texts_of(base, classes, wanted).select("key", shingles(F.col("text")).alias("shingles")), "key"))
+        known = rest.join(facts.select("key", "n"), "key")
+        sizes = known.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
+        blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
+        cut = sizes.where("size > 1").select("bucket", blocks.alias("blocks"))
+        block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+        dealt = rest.join(cut, "bucket").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select("bucket", "key", "root", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+        dealt = dealt.join(facts, "key")
+        found = settle(dealt.groupBy("bucket", "lo", "hi").applyInPandas(lambda frame: _across(frame, percent), "a binary, b binary").distinct())
+        if not found.isEmpty():
+            roots = components(spark, links.unionByName(found))
 
     numbered = classes.select("key", F.col("first.doc_id").alias("least"))
     numbered = numbered.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
@@ -256,9 +276,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
 
 
-def texts_of(base: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """key, text of the classes in pairs: the text of their first document."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+def _little_endian(value):
+    """The bytes of a whole number from the lowest on, in hexadecimal, as numpy reads them."""
+    told = F.lpad(F.hex(value), 16, "0")
+    return F.concat(*[F.substring(told, 15 - 2 * i, 2) for i in range(8)])
+
+
+def texts_of(base: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, text of the wanted classes: the text of their first document."""
     first = classes.join(wanted, "key", "left_semi").select("key", "first.doc_id", "first.content")
     same = first.doc_id.eqNullSafe(base.doc_id) & (first.content == F.md5(base.text))
-    return settle(base.join(first, same, "inner").select("key", "text"))
+    # repeated rows of that document are one text
+    return settle(base.join(first, same, "inner").select("key", "text").dropDuplicates(["key"]))
