@@ -1,6 +1,8 @@
 import random
+import re
 
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tillroll.llm import minhash

@@ -87,3 +87,12 @@ def test_every_round_has_a_position(spark):
             assert abs(r.position - (done + r.words / 2) / r.target) < 1e-9
             done += r.words
     assert all(r.position == r.positions[0] for r in docs.values())
+
+
+def test_rows_keep_all_their_columns(spark):
+    """Repeated rows, nulls in different columns, and names that the mix uses itself."""
+    data = [(1, "s", "a b", None), (1, "s", "a b", None), (1, "s", None, "a b"), (1, None, "a b", "s"), (2, "s", "a b", "x")]
+    docs = spark.createDataFrame(data, "doc_id long, source string, text string, position string").repartition(3)
+    mixed = mixing.mix(docs)
+    assert sorted([(r.doc_id, r.source, r.text) for r in mixed.collect()], key=str) == sorted([d[:3] for d in data], key=str)
+    assert dict(mixed.dtypes)["position"] == "double"

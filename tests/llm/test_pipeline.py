@@ -1,5 +1,5 @@
 import corpus_pipeline as pipeline
-from tillroll.llm import pii
+from tillroll.llm import pii, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 ITEM = "The river that crosses the old town flows north in winter. It ends in the sea of amber stones."
@@ -42,3 +42,27 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
     assert pii.mask(empty).columns == empty.columns
+
+
+def test_near_duplicates_are_chosen_by_row(spark):
+    """Ids that repeat with other texts, null ids with near texts, rows equal in all columns, a very long text."""
+    base = words(60, "a")
+    rows = [
+        (4, base, "en", None, 1), (None, base + " more", "en", "s", 1), (None, base, "en", "s", 1), (4, words(50, "b"), "en", "s", 1),
+        (4, words(50, "b"), "en", "s", 1), (3, words(50, "b") + " end", "en", "s", 1), (None, None, "en", None, None), (None, None, "en", None, None),
+        (9, words(30_000, "c"), "en", "s", 1), (8, words(30_000, "c") + " tail", "en", "s", 1), (7, "", None, None, 0),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    kept = pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted([(r.doc_id, len(r.text or "")) for r in kept.collect()], key=str) == sorted(
+        [(4, len(base)), (3, len(rows[5][1])), (None, 0), (8, len(rows[9][1])), (7, 0)], key=str
+    )
+
+
+def test_fitting_in_a_task_gives_the_same_network(spark):
+    rows = [(i, words(20, f"t{i}x") + (" vile idiot" if i % 2 else " kind"), "en", "s", 0) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, SCHEMA)
+    one, other = toxicity.fit(docs, labels), toxicity.fit_in_task(docs, labels)
+    assert all((one.p[name] == other.p[name]).all() for name in one.p)

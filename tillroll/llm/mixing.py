@@ -62,12 +62,29 @@ def source_targets(sources: DataFrame, most: float = 3.0) -> DataFrame:
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
-    """All columns of docs with size, source_size, target, taken, position and positions; see mix_sizes."""
-    return _attach(docs, mix_sizes(docs, **settings), [c for c in docs.columns if c not in ("doc_id", "source")])
+    """All columns of docs with size, source_size, target, taken, position and positions; see mix_sizes.
+
+    Columns of docs with these names are replaced. Rows are known by a hash of all their columns, so only narrow
+    rows are counted and ranked, and whole ones are shuffled once; rows equal in all columns each have their own share.
+    """
+    found = ["size", "source_size", "target", "taken", "position", "positions"]
+    keys = _row_keys(docs)
+    shares = mix_sizes(docs, carry=keys, **settings).select(*keys, *found)
+    one = Window.partitionBy(*keys).orderBy(F.lit(1))
+    kept = docs.withColumns(keys).select(*[c for c in docs.columns if c not in found], *keys)
+    kept = kept.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
+    return kept.join(shares, list(keys)).drop(*keys)
+
+
+def _row_keys(docs: DataFrame) -> dict:
+    """128 bits of a hash over all columns of a row and over which of them are null."""
+    values = [F.col(f"`{c}`") for c in docs.columns]
+    known = [value.isNull() for value in values]
+    return {"_k1": F.xxhash64(*values, *known), "_k2": F.xxhash64(F.lit(1), *values, *known)}
 
 
-def mix_sizes(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, slopes=(-1.0, 0.0, 1.0)) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, position and positions of each row.
+def mix_sizes(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, slopes=(-1.0, 0.0, 1.0), carry: dict | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, position and positions of each row, and the columns of carry.
 
     positions has one entry for each round that takes words of the row, in order; position is the
     first of them, null if nothing is taken. All entries but that of the last round, which may cut
@@ -78,7 +95,8 @@ def mix_sizes(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, slopes=(-1.
     """
     sized = settle(
         docs.select(
-            "doc_id", "source", text_size(F.col("text")).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("place")
+            "doc_id", "source", text_size(F.col("text")).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("place"),
+            *[value.alias(name) for name, value in (carry or {}).items()],
         )
     )
     counted = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
@@ -122,7 +140,7 @@ def mix_sizes(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, slopes=(-1.
     placed = placed.withColumn("positions", F.when(F.col("_rounds") > 0, every).otherwise(F.array().cast("array<double>")))
     placed = placed.withColumn("position", F.get("positions", F.lit(0)))
     return placed.select(
-        "doc_id", "source", "size", "source_size", F.col("target").cast("double").alias("target"), "taken", "position", "positions"
+        "doc_id", "source", "size", "source_size", F.col("target").cast("double").alias("target"), "taken", "position", "positions", *(carry or {})
     )
 
 
@@ -133,23 +151,6 @@ def time_of(share, slope):
     return F.when(slope == 0, share).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), root)))
 
 
-def _attach(docs, found, extra):
-    """The other columns again, one row for each repeated row."""
-    taken = {"size", "source_size", "target", "taken", "position", "positions"}
-    kept = [c for c in extra if c not in taken]
-    same = Window.partitionBy("doc_id", "source", "_size").orderBy(*[F.xxhash64(c) for c in kept])
-    left = docs.select("doc_id", "source", *kept).withColumn("_size", text_size(F.col("text"))).withColumn("_n", F.row_number().over(same))
-    copies = Window.partitionBy("doc_id", "source", "size").orderBy("position", "taken")
-    right = found.withColumn("_n", F.row_number().over(copies)).select(
-        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "_n", "size", "source_size", "target", "taken", "position", "positions"
-    )
-    same_row = (
-        left.doc_id.eqNullSafe(F.col("_d")) & left.source.eqNullSafe(F.col("_s"))
-        & (left._size == F.col("size")) & (left._n == right._n)
-    )
-    return left.join(right, same_row).drop("_d", "_s", "_size").drop(left._n).drop(right._n)
-
-
 def in_training_order(mixed: DataFrame) -> DataFrame:
     """Each occurrence of a document that the mix takes, range-sorted by its position.
 

@@ -16,6 +16,7 @@ both labels counts as toxic. Without any labels all scores are the initial ones.
 """
 
 import math
+import pickle
 from itertools import chain
 
 import numpy as np
@@ -312,14 +313,32 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
+def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, text, _toxic of at most `sample` labelled documents, chosen and ordered by hash and id."""
     known = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     known = known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select("doc_id", "text")
-    rows = texts.join(F.broadcast(known), "doc_id").distinct().orderBy("doc_id", "text").limit(sample).collect()
+    return texts.join(F.broadcast(known), "doc_id").distinct().orderBy("doc_id", "text").limit(sample)
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
+    rows = sampled(docs, labels, sample).collect()
     return train([r["text"] for r in rows], [r["_toxic"] for r in rows])
 
 
+def fit_in_task(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
+    """As fit, with the sample in a task: only the fitted network reaches the driver."""
+
+    def learn(batches):
+        rows = [row for batch in batches for row in batch.to_pylist()]
+        network = train([r["text"] for r in rows], [r["_toxic"] for r in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)], pa.binary())], names=["network"])
+
+    chosen = sampled(docs, labels, sample).select("text", "_toxic").coalesce(1)
+    fitted = chosen.mapInArrow(learn, "network binary").first()
+    return pickle.loads(fitted.network) if fitted else train([], [])
+
+
 def scorer(spark, network: Network):
     """A function from a text column to its score."""
     shared = spark.sparkContext.broadcast(network)
