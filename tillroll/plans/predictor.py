@@ -1,8 +1,8 @@
 """Which customers buy next quarter: search, selection, evaluation, prediction.
 
-Features are one row per customer. Every candidate and fold is a distributed Spark ML
-fit; a few run at a time. Predictions of all fits are written to one table, so that all
-scores come out of one aggregation.
+Features are one row per customer. All logistic candidates and folds are fitted together;
+every other candidate and fold is a distributed Spark ML fit, a few at a time. Predictions of
+all fits are written to one table, so that all scores come out of one aggregation.
 """
 
 import itertools
@@ -17,7 +17,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
-    LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
     RandomForestClassifier,
@@ -26,19 +25,22 @@ from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembl
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType
 
 from tillroll.contracts import check_test_size, check_type
 from tillroll.errors import NotTrainedError
 from tillroll.operators import metrics, sampling
 from tillroll.operators.customers import predict_rows, train_rows
 from tillroll.operators.lookups import keyed_lookup
+from tillroll.plans import logistic
 from tillroll.schema import FEATURES
 from tillroll.session import settle, shared_folder
 
 TREE = {"criterion", "max_depth", "min_samples_split", "class_weight"}
+LOGISTIC = "LogisticRegression"
 # classifiers that give probabilities, and the parameters each accepts
 REGISTRY = {
-    "LogisticRegression": (LogisticRegression, {"C", "penalty", "class_weight"}),
+    LOGISTIC: (None, {"C", "penalty", "l1_ratio", "class_weight"}),  # see logistic.py
     "RandomForestClassifier": (RandomForestClassifier, TREE | {"n_estimators", "max_features"}),
     "DecisionTreeClassifier": (DecisionTreeClassifier, TREE),
     "GradientBoostingClassifier": (GBTClassifier, {"n_estimators", "max_depth", "learning_rate", "class_weight"}),
@@ -93,17 +95,30 @@ def candidate_grid(settings: list) -> list[Candidate]:
                 check_type(key, values, list)
                 if not values:
                     raise ValueError(f"the value list of {key} is empty")
+                for value in values:
+                    _check_value(key, value)
             found += [Candidate(name, tuple(zip(grid, values))) for values in itertools.product(*grid.values())]
     return found
 
 
-def _estimator(candidate: Candidate, n_rows: int, seed: int):
+def _check_value(key: str, value) -> None:
+    good = {
+        "penalty": lambda: value in logistic.PENALTIES,
+        "class_weight": lambda: value is None or isinstance(value, dict) or value in ("balanced", "balanced_subsample"),
+        "C": lambda: value > 0,
+        "l1_ratio": lambda: 0 <= value <= 1,
+    }
+    if key in good and not good[key]():
+        raise ValueError(f"{value!r} is no value of {key}")
+
+
+def _estimator(candidate: Candidate, seed: int):
     kind, _ = REGISTRY[candidate.classifier]
     given = dict(candidate.parameters)
     model = kind(featuresCol="features", labelCol="y_label")
     if model.hasParam("seed"):
         model.setSeed(seed)
-    if str(given.get("class_weight")).startswith("balanced"):
+    if given.get("class_weight") is not None:
         model.setWeightCol("weight")
     if "criterion" in given:
         model.setImpurity(given["criterion"])
@@ -111,10 +126,7 @@ def _estimator(candidate: Candidate, n_rows: int, seed: int):
         model.setMaxDepth(DEEPEST_TREE if given["max_depth"] is None else given["max_depth"])
     if "min_samples_split" in given:  # nearest Spark has: rows per leaf
         model.setMinInstancesPerNode(max(1, given["min_samples_split"] // 2))
-    if kind is LogisticRegression:
-        penalized = given.get("penalty", "l2") == "l2"
-        model.setStandardization(False).setRegParam(1 / (given.get("C", 1.0) * n_rows) if penalized else 0.0)
-    elif kind is RandomForestClassifier:
+    if kind is RandomForestClassifier:
         model.setNumTrees(given.get("n_estimators", 100)).setFeatureSubsetStrategy(given.get("max_features", "sqrt"))
     elif kind is GBTClassifier:
         model.setMaxIter(given.get("n_estimators", 100)).setStepSize(given.get("learning_rate", 0.1))
@@ -128,11 +140,14 @@ def _estimator(candidate: Candidate, n_rows: int, seed: int):
 
 def fit_candidate(candidate: Candidate, rows: DataFrame, standardize: bool = True, seed: int = 0) -> PipelineModel:
     """Fit one candidate. With ``standardize`` features are scaled by mean and population deviation."""
+    if candidate.classifier == LOGISTIC:
+        fits, _ = logistic.fit(rows, FEATURES, [dict(candidate.parameters)], standardize=standardize)
+        return logistic.as_model(FEATURES, fits[0])
     counts = {r.y_label: r.n for r in rows.groupBy("y_label").agg(F.count("*").alias("n")).collect()}
     n_rows = sum(counts.values())
     weight = F.lit(1.0)
-    for label, n in counts.items():  # every label gets the same total weight
-        weight = F.when(F.col("y_label") == label, n_rows / (len(counts) * n)).otherwise(weight)
+    for label, value in logistic.class_weights(dict(candidate.parameters).get("class_weight"), counts).items():
+        weight = F.when(F.col("y_label") == label, value).otherwise(weight)
     stages = [VectorAssembler(inputCols=FEATURES, outputCol="raw" if standardize else "features")]
     if standardize:
         # StandardScaler divides by the sample deviation; the factor makes it the population's
@@ -143,14 +158,17 @@ def fit_candidate(candidate: Candidate, rows: DataFrame, standardize: bool = Tru
                 inputCol="scaled", outputCol="features", scalingVec=Vectors.dense([factor] * len(FEATURES))
             ),
         ]
-    stages.append(_estimator(candidate, n_rows, seed))
+    stages.append(_estimator(candidate, seed))
     return Pipeline(stages=stages).fit(rows.withColumn("weight", weight))
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Rows with the probability of label 1."""
     helpers = ["raw", "scaled", "features", "rawPrediction", "prediction"]
-    return model.transform(rows).withColumn("probability", vector_to_array("probability")[1]).drop(*helpers)
+    scored = model.transform(rows)
+    plain = isinstance(scored.schema["probability"].dataType, ArrayType)
+    chances = F.col("probability") if plain else vector_to_array("probability")
+    return scored.withColumn("probability", chances[1]).drop(*helpers)
 
 
 def cross_validate_classifiers(
@@ -163,6 +181,14 @@ def cross_validate_classifiers(
     """
     folded = settle(sampling.stratified_folds(rows, n_folds, seed=seed))
     path = f"{shared_folder(rows.sparkSession)}/predictions-{uuid.uuid4().hex}"
+    columns = ["fold", "customer_id", "y_label", "probability"]
+    together = [n for n, c in enumerate(candidates) if c.classifier == LOGISTIC]
+    if together:
+        fits, _ = logistic.fit(folded, FEATURES, [dict(candidates[n].parameters) for n in together], n_folds, standardize)
+        for one in fits:
+            one.candidate = together[one.candidate]
+        table = logistic.held_out_probabilities(folded, FEATURES, fits)
+        table.select("number", *columns).write.partitionBy("number").parquet(path)
 
     def predict(numbered):
         number, candidate = numbered
@@ -170,11 +196,11 @@ def cross_validate_classifiers(
         for fold in range(n_folds):
             model = fit_candidate(candidate, folded.where(F.col("fold") != fold), standardize, seed)
             parts.append(score(model, folded.where(F.col("fold") == fold)))
-        table = reduce(DataFrame.unionByName, parts).select("fold", "customer_id", "y_label", "probability")
+        table = reduce(DataFrame.unionByName, parts).select(F.col("fold").cast("int").alias("fold"), *columns[1:])
         table.write.parquet(f"{path}/number={number}")
 
     with ThreadPoolExecutor(FITS_AT_A_TIME) as pool:
-        list(pool.map(predict, enumerate(candidates)))
+        list(pool.map(predict, [(n, c) for n, c in enumerate(candidates) if n not in together]))
     names = F.element_at(F.array(*[F.lit(c.name) for c in candidates]), F.col("number") + 1)
     predictions = rows.sparkSession.read.parquet(path).withColumn("candidate", names)
     by = ["candidate", "fold"]
