@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tillroll.functions.ranks import exact_quantiles, rank_by_hash
+from tillroll.functions.ranks import FEW, exact_quantiles, narrowed, rank_by_hash
 from tillroll.operators import metrics, profile, sampling
 
 
@@ -68,6 +68,29 @@ def test_quantiles_equal_numpy(spark):
         assert value == pytest.approx(np.quantile(data[name], p), rel=1e-12)
 
 
+def test_quantiles_of_a_narrow_range_rank_few_rows(spark):
+    table = spark.range(1_000_000).select((F.col("id") + 1e9).alias("v"))
+    values = table.select(F.lit(0).alias("at"), F.col("v").alias("value"))
+    targets, passes = narrowed(values, (0, 0.25, 0.5, 0.75, 1))
+    assert passes <= 3 and len(targets) == 8
+    assert all(t.n <= FEW or t.low == t.high for t in targets)
+    assert all(t.before <= t["rank"] < t.before + t.n for t in targets)
+    found = {r.probability: r.value for r in exact_quantiles(table, ["v"], (0, 0.25, 0.5, 1)).collect()}
+    assert found == {0: 1e9, 0.25: 1e9 + 249_999.75, 0.5: 1e9 + 499_999.5, 1: 1e9 + 999_999}
+
+
+def test_quantiles_of_odd_values(spark):
+    odd = [None, float("nan"), float("-inf"), -1e300, -1e-300, 0.0, 1e-300, 1e-300, 1e-299, 5.0, float("inf")]
+    table = spark.createDataFrame([(v, None) for v in odd], "v double, empty double")
+    known = sorted(v for v in odd if v is not None and v == v)
+    found = {(r.column, r.probability): r.value for r in exact_quantiles(table, ["v", "empty"], (0, 0.25, 0.5, 0.75, 1)).collect()}
+    assert found == {("v", p): known[round(p * 8)] for p in (0, 0.25, 0.5, 0.75, 1)}
+    values = table.where("v IS NOT NULL AND NOT isnan(v)").select(F.lit(0).alias("at"), F.col("v").alias("value"))
+    targets, _ = narrowed(values, (0, 0.25, 0.5, 0.75, 1), few=0)
+    assert {t["rank"]: t.low for t in targets} == {k: known[k] for k in (0, 2, 4, 6, 8)}
+    assert exact_quantiles(table.limit(0), ["v"], (0.5,)).count() == 0
+
+
 def test_ranks_are_a_permutation_per_group(spark):
     table = spark.range(5000).selectExpr("id AS customer_id", "CAST(id % 3 = 0 AS DOUBLE) AS y_label")
     ranked = rank_by_hash(table, ["y_label"], "customer_id", 5, "place")

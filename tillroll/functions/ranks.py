@@ -1,10 +1,15 @@
 """Exact ranks and quantiles without sorting a whole group in one task."""
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
+from tillroll.session import Scratch
+
 HASH_PREFIX = 3  # hex digits: 4096 buckets per group
+BINS = 1024  # of a refinement
+FEW = 10_000  # rows of a bin that are ranked at once
 
 
 def seeded_hash(seed, *keys: Column) -> Column:
@@ -48,54 +53,76 @@ def _value_bin(value: Column) -> Column:
     return F.when(value < 0, -size - 1).otherwise(size)
 
 
+def _bin_facts():
+    return F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: (column, probability, value).
 
-    Equal values shrink to one counted row first. Ranks are then cumulative counts over
-    value bins (a few thousand rows per column) plus cumulative counts inside a bin, and
-    only bins that hold a wanted rank are looked into.
+    Bins are counted between the known bounds of a wanted rank, and the bounds narrow to its bin, until
+    that holds one value or few rows; only those rows are ranked. Nulls and NaN are left out, and a column
+    of nothing else has no rows.
     """
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    )
-    counted = (
-        df.select(pairs.alias("p"))
-        .select("p.column", "p.value")
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("n"))
-        .withColumn("bin", _value_bin(F.col("value")))
-    )
-    per_column = Window.partitionBy("column")
-    before = per_column.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = (
-        counted.groupBy("column", "bin")
-        .agg(F.sum("n").alias("bin_rows"))
-        .withColumn("bin_start", F.coalesce(F.sum("bin_rows").over(before), F.lit(0)))
-        .withColumn("total", F.sum("bin_rows").over(per_column))
-    )
-    position = F.col("probability") * (F.col("total") - 1)
-    wanted = (
-        bins.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position)))))
-        .where(
-            (F.col("rank") >= F.col("bin_start")) & (F.col("rank") < F.col("bin_start") + F.col("bin_rows"))
-        )
-        .select("column", "bin", "bin_start", "total", "probability", "rank")
-    )
-    in_bin = Window.partitionBy("column", "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.join(wanted.select("column", "bin").distinct(), ["column", "bin"], "left_semi").withColumn(
-        "upto", F.sum("n").over(in_bin)
-    )
-    hit = placed.join(wanted, ["column", "bin"]).where(
-        (F.col("rank") < F.col("bin_start") + F.col("upto"))
-        & (F.col("rank") >= F.col("bin_start") + F.col("upto") - F.col("n"))
-    )
-    low = F.min_by("value", "rank")
-    high = F.max_by("value", "rank")
-    share = F.col("position") - F.floor("position")
-    return (
-        hit.groupBy("column", "probability")
-        .agg(low.alias("low"), high.alias("high"), F.max(position).alias("position"))
-        .select("column", "probability", (F.col("low") + (F.col("high") - F.col("low")) * share).alias("value"))
-    )
+    spark = df.sparkSession
+    with Scratch(spark) as scratch:
+        values = scratch.settle(df.select(*[F.col(c).cast("double").alias(f"v{k}") for k, c in enumerate(columns)]))
+        pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("at"), F.col(f"v{k}").alias("value")) for k in range(len(columns))]))
+        values = values.select(pairs.alias("p")).select("p.at", "p.value").where("value IS NOT NULL AND NOT isnan(value)")
+        targets, _ = narrowed(values, probabilities)
+        found = _ranked(values, targets)
+    rows = []
+    for k, total in sorted({(t.at, t.total) for t in targets}):
+        for p in probabilities:
+            position = p * (total - 1)
+            low, high = found[k, math.floor(position)], found[k, math.ceil(position)]
+            value = low if low == high else low + (high - low) * (position - math.floor(position))
+            rows.append((columns[k], float(p), value))
+    return spark.createDataFrame(rows, "column string, probability double, value double")
+
+
+def narrowed(values: DataFrame, probabilities: Sequence[float], few: int = FEW):
+    """A row per wanted (at, rank) of (at, value) with total, low, high, before and n; and the passes over values.
+
+    low..high are the values of the rank's bin, before and n the rows below and in it: at most ``few``, or of one value.
+    """
+    bins = values.withColumn("bin", _value_bin(F.col("value"))).groupBy("at", "bin").agg(*_bin_facts())
+    all_of = Window.partitionBy("at")
+    bins = bins.withColumn("upto", F.sum("n").over(all_of.orderBy("bin"))).withColumn("total", F.sum("n").over(all_of))
+    position = [F.lit(float(p)) * (F.col("total") - 1) for p in probabilities]
+    wanted = F.explode(F.array_distinct(F.array(*[edge(p).cast("long") for p in position for edge in (F.floor, F.ceil)])))
+    held = (F.col("rank") >= F.col("upto") - F.col("n")) & (F.col("rank") < F.col("upto"))
+    columns = ["at", "rank", "total", "low", "high", (F.col("upto") - F.col("n")).alias("before"), "n"]
+    targets = bins.withColumn("rank", wanted).where(held).select(*columns).collect()  # two rows a column and probability
+    passes, done = 1, []
+    while True:
+        done += [t for t in targets if t.n <= few or t.low == t.high]
+        targets = [t for t in targets if t.n > few and t.low != t.high]
+        if not targets:
+            return done, passes
+        share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
+        inside = _inside(values, targets).withColumn("bin", F.least(F.floor(share * BINS), F.lit(BINS - 1)))
+        bins = inside.groupBy("at", "rank", "total", "before", "bin").agg(*_bin_facts())
+        running = Window.partitionBy("at", "rank").orderBy("bin")
+        bins = bins.withColumn("upto", F.col("before") + F.sum("n").over(running)).drop("before")
+        targets = bins.where(held).select(*columns).collect()
+        passes += 1
+
+
+def _inside(values: DataFrame, targets) -> DataFrame:
+    """Values between the bounds of each target; there are at most two targets a column and probability."""
+    known = [(t.at, t["rank"], t.total, t.low, t.high, t.before) for t in targets]
+    schema = "at int, rank long, total long, low double, high double, before long"
+    table = F.broadcast(values.sparkSession.createDataFrame(known, schema))
+    return values.join(table, "at").where(F.col("value").between(F.col("low"), F.col("high")))
+
+
+def _ranked(values: DataFrame, targets) -> dict:
+    """The value at each target's rank."""
+    found = {(t.at, t["rank"]): t.low for t in targets if t.low == t.high}
+    rest = [t for t in targets if t.low != t.high]
+    if rest:
+        place = F.row_number().over(Window.partitionBy("at", "rank").orderBy("value")) - 1 + F.col("before")
+        hits = _inside(values, rest).withColumn("place", place).where(F.col("place") == F.col("rank"))
+        found |= {(r.at, r["rank"]): r.value for r in hits.select("at", "rank", "value").collect()}
+    return found
