@@ -13,6 +13,7 @@ from tillroll.errors import (
     NotTrainedError,
 )
 from tillroll.functions.dates import parse_invoice_date
+from tillroll.operators.lookups import keyed_lookup
 from tillroll.plans import arima, autoregression, predictor
 from tillroll.plans.recommender import train_recommender
 from tillroll.schema import FEATURES
@@ -92,6 +93,25 @@ def test_recommender_store(spark, tmp_path):
             train_recommender(pairs, n)
 
 
+def test_a_strict_lookup_reads_its_table_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    table = spark.range(40).withColumn("v", F.col("id") * 2).mapInPandas(counted, "id long, v long")
+    found = keyed_lookup(table, "id", [3, 5, 5], ["v"])
+    assert rows(found) == [(3, 6), (5, 10)] and rows(found) == [(3, 6), (5, 10)] and read.value == 40
+    with pytest.raises(KeyError):
+        keyed_lookup(table, "id", [3, 99], ["v"])
+    with pytest.raises(KeyError):
+        keyed_lookup(table, "id", spark.createDataFrame([(None,)], "id long"), ["v"])
+    assert rows(keyed_lookup(table, "id", [99], ["v"], ignore_missing=True)) == [(99, None)]
+    assert keyed_lookup(table, "id", table.limit(0), ["v"]).count() == 0
+
+
 @pytest.fixture(scope="module")
 def features(spark):
     numbers = spark.range(400).select(
