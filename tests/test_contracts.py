@@ -17,7 +17,7 @@ from tillroll.operators.lookups import keyed_lookup
 from tillroll.plans import arima, autoregression, predictor
 from tillroll.plans.recommender import train_recommender
 from tillroll.schema import FEATURES
-from tillroll.sources import datasets
+from tillroll.sources import datasets, versions
 from tillroll.sources.invoices import scan_invoices
 
 CSV = """Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country
@@ -76,6 +76,33 @@ def test_datasets(spark, tmp_path):
         datasets.write_dataset(spark.range(3), base, "bad name")
 
 
+def test_publishing_survives_a_killed_run(spark, tmp_path):
+    base, folder = str(tmp_path), str(tmp_path / "sales")
+
+    def killed(path):
+        spark.range(9).write.parquet(f"{path}/part")
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        versions.publish(spark, folder, killed)
+    with pytest.raises(DatasetNotFoundError):
+        datasets.read_dataset(spark, base, "sales")
+    datasets.write_dataset(spark.range(3), base, "sales")
+    with pytest.raises(KeyboardInterrupt):
+        versions.publish(spark, folder, killed)
+    failing = spark.range(5).selectExpr("IF(id = 4, raise_error('lost'), id) AS id")
+    with pytest.raises(Exception, match="lost"):
+        datasets.write_dataset(failing, base, "sales", overwrite_if_exists=True)
+    kept = datasets.read_dataset(spark, base, "sales")
+    assert kept.count() == 3
+    datasets.write_dataset(spark.range(5), base, "sales", overwrite_if_exists=True)
+    assert kept.count() == 3 and datasets.read_dataset(spark, base, "sales").count() == 5  # a reader may end
+    datasets.write_dataset(kept.union(kept), base, "sales", overwrite_if_exists=True)  # from its own older version
+    assert datasets.read_dataset(spark, base, "sales").count() == 6
+    names = [p.name for p in (tmp_path / "sales").iterdir()]
+    assert len([n for n in names if versions.exists(spark, f"{folder}/{n}/{versions.MARKER}")]) == versions.KEPT + 1
+
+
 def test_recommender_store(spark, tmp_path):
     base = str(tmp_path)
     pairs = spark.createDataFrame([(c, str(i)) for c in range(30) for i in range(c % 25 + 1)], "customer_id long, stock_code string")
@@ -159,7 +186,11 @@ def test_predictor(spark, features, tmp_path):
     with pytest.raises(NotTrainedError):
         predictor.predict_purchases(features, None, 0.5)
     table = datasets.evaluation_metrics(first.evaluation, "buyers", base)
-    assert table.count() == 12 and spark.read.parquet(f"{base}/evaluations").count() == 12
+    datasets.evaluation_metrics(first.evaluation, "buyers", base)  # a retry adds nothing
+    assert table.count() == 12 and datasets.read_evaluations(spark, base).count() == 12
+    datasets.evaluation_metrics(first.evaluation, "buyers", base, run="second")
+    assert datasets.read_evaluations(spark, base).where("run = 'latest'").count() == 12
+    assert datasets.read_evaluations(spark, base).count() == 24
 
 
 @pytest.mark.parametrize("name", ["DecisionTreeClassifier", "GradientBoostingClassifier", "GaussianNB", "MLPClassifier"])

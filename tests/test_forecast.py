@@ -4,9 +4,11 @@ import numpy as np
 import pytest
 
 from tests.conftest import rows
+from tillroll.errors import IncompatibleTransformError, ModelNotFoundError
 from tillroll.functions import arima as single, kalman
 from tillroll.operators import profile, series as tools, stationarity
 from tillroll.plans import arima, autoregression, use_cases
+from tillroll.sources import datasets
 
 FIRST = dt.date(2020, 1, 5)
 
@@ -243,3 +245,60 @@ def test_short_series_keep_a_row_with_a_reason(spark):
     assert rows(lags, "series_id", "lags", "reason") == [
         ("long", [57.0, 58.0, 59.0], None), ("short", [45.0, 46.0, 47.0], None), ("tiny", None, "too few weeks for the lags"),
     ]
+
+
+def test_box_cox_power_is_the_best_of_a_fine_grid(spark):
+    draw = np.random.default_rng(3)
+    values = {
+        "log": np.exp(draw.normal(3, 0.7, 90)), "root": draw.normal(20, 4, 120) ** 2, "left": 50 - draw.gamma(2, 4, 80),
+        "zeros": np.where(np.arange(60) % 9 == 0, 0.0, draw.gamma(3, 100, 60)), "two": np.array([1.0, 7.0]),
+    }
+    found = {r.series_id: r.power for r in tools.box_cox_lambdas(weekly(spark, flat=[5, 5, 5], one=[2], **values)).collect()}
+    assert found.pop("flat") == 1 and found.pop("one") == 1 and set(found) == set(values)
+    for name, x in values.items():
+        logs = np.log(x + tools.BOX_COX_SHIFT)
+        fine = np.arange(-2, 2, 1e-4) + 5e-5
+
+        def likelihood(power):
+            return -len(x) / 2 * np.log(np.var(np.exp(power * (logs - logs.mean())) / power))
+
+        best = fine[np.argmax([likelihood(power) for power in fine])]
+        assert abs(found[name] - best) < 1e-4, name
+        assert abs(single.box_cox_power(x) - found[name]) < 1e-5, name
+
+
+def test_box_cox_powers_copy_no_weeks(spark):
+    plan = tools.box_cox_lambdas(weekly(spark, a=[1, 2, 3]))._jdf.queryExecution().toString()
+    assert "Generate explode" not in plan and "ArrowEval" not in plan and "MapInPandas" not in plan
+
+
+def test_inverse_box_cox_beyond_its_range_is_null(spark):
+    table = spark.createDataFrame([("n", -0.5, 1.5), ("n", -0.5, 2.0), ("n", -0.5, 9.0), ("p", 0.5, -3.0), ("z", 0.0, 1.0)], "series_id string, power double, total_price double")
+    back = [r.total_price for r in tools.inverse_box_cox(table).collect()]
+    assert np.allclose([back[0], back[3], back[4]], [16.0, 0.0, np.e], atol=1e-5) and back[1] is None and back[2] is None
+    same = [single.from_box_cox(np.array([r.total_price]), r.power)[0] for r in table.collect()]
+    assert [None if np.isnan(v) else round(v, 9) for v in same] == [v if v is None else round(v, 9) for v in back]
+
+
+@pytest.mark.parametrize("box_cox", [False, True])
+def test_stored_forecaster(spark, tmp_path, box_cox):
+    draw = np.random.default_rng(8)
+    series = weekly(spark, a=np.exp(4 + np.cumsum(draw.normal(0, 0.1, 120))), b=draw.gamma(5, 20, 110), short=[1, 2])
+    orders = [("a", 1, 1, 1, 0, 0, 0, 0), ("b", 2, 0, 0, 1, 0, 0, 4), ("short", *[None] * 7)]
+    selected = spark.createDataFrame(orders, "series_id string, " + ", ".join(f"{c} int" for c in arima.ORDER))
+    direct = rows(arima.arima_forecast(series, selected, 6, box_cox))
+    base = str(tmp_path)
+    datasets.save_forecaster(arima.arima_fit(series, selected, box_cox), base, "sales", transformed=box_cox)
+    with pytest.raises(IncompatibleTransformError):
+        datasets.load_forecaster(spark, base, "sales", transformed=not box_cox)
+    with pytest.raises(ModelNotFoundError):
+        datasets.load_forecaster(spark, base, "absent", transformed=box_cox)
+    models = datasets.load_forecaster(spark, base, "sales", transformed=box_cox)
+    assert rows(arima.forecast_fitted(models, 6)) == direct
+    assert len(direct) == 18 and {r[3] for r in direct if r[0] == "short"} == {None}
+    history = [r.total_price for r in series.where("series_id = 'a'").orderBy("week_end").collect()]
+    power = single.box_cox_power(np.array(history)) if box_cox else None
+    values = single.to_box_cox(np.array(history), power) if box_cox else np.array(history)
+    plain = single.fit(values, {"p": 1, "d": 1, "q": 1, "P": 0, "D": 0, "Q": 0, "m": 0}).forecast(6)[0]
+    plain = single.from_box_cox(plain, power) if box_cox else plain
+    assert np.allclose([r[3] for r in direct if r[0] == "a"], plain, rtol=1e-5)

@@ -110,35 +110,53 @@ def differences(spark, sf_dir):
     return shown(series.difference_series(country_series(spark, sf_dir), 2), "total_price")
 
 
-LAMBDAS = """
+def _level(name, before, step, points):
+    """The best of an even grid around the power found before: the likelihood has one maximum."""
+    return f"""
+{name} AS (
+  SELECT series_id, arg_max(power, likelihood) AS power FROM (
+    SELECT series_id, power,
+           -count(*)::DOUBLE / 2 * ln(var_pop(CASE WHEN abs(power) < 1e-9 THEN z ELSE (exp(power * z) - 1) / power END)) AS likelihood
+    FROM logs JOIN (SELECT series_id, power + i * {step}::DOUBLE AS power FROM {before}, range(-{points}, {points} + 1) r(i)) USING (series_id)
+    GROUP BY series_id, power)
+  GROUP BY series_id)"""
+
+
+# grids of finer and finer steps, where the query narrows an interval
+LAMBDAS = (
+    """
 shifted AS (SELECT series_id, week_end, greatest(total_price + 1e-6::DOUBLE, 1e-16::DOUBLE) AS x FROM series),
-powers AS (SELECT -2.0::DOUBLE + i * (4.0::DOUBLE / 80) AS power FROM range(0, 81) r(i)),
-likelihoods AS (
-  SELECT series_id, power,
-         -count(*)::DOUBLE / 2 * ln(var_pop(CASE WHEN power = 0 THEN ln(x) ELSE (pow(x, power) - 1) / power END))
-         + (power - 1) * sum(ln(x)) AS likelihood
-  FROM shifted, powers GROUP BY series_id, power),
-chosen AS (
-  SELECT series_id, power FROM (
-    SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY round(likelihood, 6) DESC, power DESC) AS place
-    FROM likelihoods) WHERE place = 1)"""
-
-
-@query("box_cox_lambdas", with_ctes(*SERIES_CTES, LAMBDAS) + "SELECT series_id, round(power, 6) AS power FROM chosen")
+logs AS (SELECT series_id, ln(x) - avg(ln(x)) OVER (PARTITION BY series_id) AS z FROM shifted),
+middle AS (SELECT DISTINCT series_id, 0.0::DOUBLE AS power FROM series),"""
+    + ",".join(
+        [
+            _level("tenths", "middle", 0.1, 20),
+            _level("hundredths", "tenths", 0.005, 20),
+            _level("thousandths", "hundredths", 0.0005, 10),
+            _level("finest", "thousandths", 0.00001, 50),
+        ]
+    )
+    + """,
+chosen AS (SELECT series_id, round(power, 3) AS power FROM finest)"""
+)
+
+
+@query("box_cox_lambdas", with_ctes(*SERIES_CTES, LAMBDAS) + "SELECT series_id, power FROM chosen")
 def powers(spark, sf_dir):
-    return shown(series.box_cox_lambdas(country_series(spark, sf_dir)), "power")
+    return shown(series.box_cox_lambdas(country_series(spark, sf_dir)), "power", digits=3)
 
 
 @query(
     "box_cox",
     with_ctes(*SERIES_CTES, LAMBDAS)
-    + f"""SELECT series_id, {DAY}, round(power, 6) AS power,
+    + f"""SELECT series_id, {DAY}, power,
   round(CASE WHEN power = 0 THEN ln(x) ELSE (pow(x, power) - 1) / power END, 6) AS total_price
 FROM shifted JOIN chosen USING (series_id)""",
 )
 def transformed(spark, sf_dir):
     weekly = country_series(spark, sf_dir)
-    return shown(series.box_cox(weekly, series.box_cox_lambdas(weekly)), "total_price", "power")
+    rounded = shown(series.box_cox_lambdas(weekly), "power", digits=3)
+    return shown(series.box_cox(weekly, rounded), "total_price")
 
 
 @query(

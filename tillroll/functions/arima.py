@@ -10,10 +10,9 @@ from itertools import groupby
 import numpy as np
 
 from tillroll.functions import kalman
-from tillroll.operators.series import BOX_COX_SHIFT, SMALLEST
+from tillroll.operators.series import BOX_COX_SHIFT, FLAT, GOLDEN, POWER_ZERO, SMALLEST, golden_steps
 
 SPARE_ROWS = 8  # observations wanted beyond the number of coefficients
-POWERS = np.linspace(-2.0, 2.0, 81)
 
 
 def effective(order):
@@ -51,9 +50,9 @@ def difference_weights(order):
 
 
 class Fits:
-    """Orders of one family fitted to histories, one order for each history."""
+    """Orders of one family fitted to histories, one order for each history; known ones are not fitted again."""
 
-    def __init__(self, orders, histories, start=None):
+    def __init__(self, orders, histories, start=None, known=None):
         self.weights = difference_weights(orders[0])
         self.histories = histories
         own = [np.convolve(h, self.weights, mode="valid") for h in histories]
@@ -63,6 +62,9 @@ class Fits:
             row[: len(w)] = w
         p, q = (max(o[k] for o in orders) for k in ("p", "q"))
         self.shape = kalman.Shape(p, q, orders[0]["P"], orders[0]["Q"], orders[0]["m"])
+        if known is not None:
+            self.x = np.asarray(known, dtype=float).reshape(len(orders), self.shape.n)
+            return
         free = [[*(np.arange(p) < o["p"]), *(np.arange(q) < o["q"]), *[True] * (o["P"] + o["Q"])] for o in orders]
         free = np.array(free, bool).reshape(len(orders), self.shape.n)
         self.x, self.likelihood, self.inverse = kalman.fit(self.shape, free, self.series, self.lengths, *(start or ()))
@@ -89,6 +91,11 @@ def fit(history, order):
     return Fits([effective(order)], [np.asarray(history, dtype=float)])
 
 
+def known(history, order, parameters):
+    """A fit that has been stored."""
+    return Fits([effective(order)], [np.asarray(history, dtype=float)], known=[parameters])
+
+
 def search(history, candidates, n_splits, test_size, box_cox=False):
     """(candidate, fold, AIC, RMSE) of numbered orders of one family on expanding folds of a history.
 
@@ -114,26 +121,40 @@ def search(history, candidates, n_splits, test_size, box_cox=False):
     return found
 
 
-def box_cox_power(values):
-    """Power with the highest profile log-likelihood on a grid."""
-    x = np.maximum(values + BOX_COX_SHIFT, SMALLEST)
-    logs = np.log(x)
-    scores = []
-    for power in POWERS:
-        spread = np.var(to_box_cox(values, power))
-        scores.append(-len(x) / 2 * np.log(max(spread, 1e-300)) + (power - 1) * logs.sum())
-    return float(POWERS[int(np.argmax(scores))])
+def box_cox_power(values, low=-2.0, high=2.0, tolerance=1e-7):
+    """As operators.series.box_cox_lambdas, for one history."""
+    z = np.log(np.maximum(values + BOX_COX_SHIFT, SMALLEST))
+    if not len(z) or np.ptp(z) < FLAT:
+        return 1.0
+    z = z - z.mean()
+
+    def spread(power):
+        return np.log(np.var(z if abs(power) < POWER_ZERO else np.expm1(power * z) / power))
+
+    a, b = low, high
+    c, d = b - (b - a) * GOLDEN, a + (b - a) * GOLDEN
+    at_c, at_d = spread(c), spread(d)
+    for _ in range(golden_steps(high - low, tolerance)):
+        if at_c <= at_d:
+            b, d, at_d = d, c, at_c
+            c = b - (b - a) * GOLDEN
+            at_c = spread(c)
+        else:
+            a, c, at_c = c, d, at_d
+            d = a + (b - a) * GOLDEN
+            at_d = spread(d)
+    return (a + b) / 2
 
 
 def to_box_cox(values, power):
     x = np.maximum(values + BOX_COX_SHIFT, SMALLEST)
-    return np.log(x) if abs(power) < 1e-12 else (x**power - 1) / power
+    return np.log(x) if abs(power) < POWER_ZERO else (x**power - 1) / power
 
 
 def from_box_cox(values, power):
-    if abs(power) < 1e-12:
+    """As operators.series.inverse_box_cox: NaN where a negative power has no finite value."""
+    if abs(power) < POWER_ZERO:
         return np.exp(values) - BOX_COX_SHIFT
     base = values * power + 1
-    if power < 0:  # the transform is bounded above by -1 / power
-        base = np.maximum(base, 1e-6)
-    return np.maximum(base, 0.0) ** (1 / power) - BOX_COX_SHIFT
+    known = np.power(np.maximum(base, 0.0) if power > 0 else np.where(base > 0, base, np.nan), 1 / power)
+    return known - BOX_COX_SHIFT

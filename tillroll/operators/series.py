@@ -3,12 +3,17 @@
 A series has one row per week, so a window over a series is bounded by the calendar.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tillroll.contracts import check_n_periods, check_test_size
 
 BOX_COX_SHIFT = 1e-6
 SMALLEST = 1e-16
+POWER_ZERO = 1e-9  # powers nearer to 0 are logarithms
+FLAT = 1e-9  # logarithms that differ by less are one value
+GOLDEN = (math.sqrt(5) - 1) / 2
 
 
 def _ordered():
@@ -109,38 +114,75 @@ def _shifted() -> Column:
     return F.greatest(F.col("total_price") + F.lit(BOX_COX_SHIFT), F.lit(SMALLEST))
 
 
-def box_cox_lambdas(series: DataFrame, low: float = -2.0, high: float = 2.0, steps: int = 80) -> DataFrame:
-    """Power per series with the highest profile log-likelihood on an even grid: (series_id, power)."""
-    power = F.lit(float(low)) + F.col("step") * F.lit((high - low) / steps)
-    step = F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("step")
-    transformed = F.when(F.col("power") == 0, F.log("x")).otherwise(
-        (F.pow("x", "power") - 1) / F.when(F.col("power") != 0, F.col("power"))
-    )
-    likelihood = -F.count("*") / 2 * F.log(F.var_pop("y")) + (F.col("power") - 1) * F.sum(F.log("x"))
-    scored = (
-        series.select("series_id", _shifted().alias("x"), step)
-        .withColumn("power", power)
-        .withColumn("y", transformed)
-        .groupBy("series_id", "power")
-        .agg(likelihood.alias("likelihood"))
-    )
-    best = F.max(F.struct(F.round("likelihood", 6).alias("likelihood"), "power")).alias("best")
-    return scored.groupBy("series_id").agg(best).select("series_id", F.col("best.power").alias("power"))
+def box_cox_lambdas(series: DataFrame, low: float = -2.0, high: float = 2.0, tolerance: float = 1e-7) -> DataFrame:
+    """Power per series with the highest profile log-likelihood between low and high: (series_id, power).
+
+    With z the logarithm less its mean, the power minimises the variance of (exp(power z) - 1) / power, whose
+    logarithm is convex in the power; so a golden-section search within one row per series finds it. Weeks without
+    a value do not count; a series of equal values has power 1.
+    """
+    logs = F.collect_list(F.log(_shifted())).alias("logs")
+    rows = series.groupBy("series_id").agg(logs, F.avg(F.log(_shifted())).alias("mean"))
+    rows = rows.select("series_id", F.transform("logs", lambda x: x - F.col("mean")).alias("z"))
+
+    def spread(power):
+        """Logarithm of the variance at a power."""
+        transformed = F.transform("z", lambda z: F.when(F.abs(power) < POWER_ZERO, z).otherwise(F.expm1(power * z) / power))
+        sums = F.aggregate(
+            transformed, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("ss")),
+            lambda t, y: F.struct((t["s"] + y).alias("s"), (t["ss"] + y * y).alias("ss")),
+        )
+        n = F.size("z")
+        # an array of one entry binds the sums to a name, so that they are computed once
+        return F.transform(F.array(sums), lambda t: F.log(t["ss"] / n - (t["s"] / n) * (t["s"] / n)))[0]
+
+    def narrowed(t, _):
+        left = t["at_c"] <= t["at_d"]
+        a, b = F.when(left, t["a"]).otherwise(t["c"]), F.when(left, t["d"]).otherwise(t["b"])
+        point = F.when(left, b - (b - a) * GOLDEN).otherwise(a + (b - a) * GOLDEN)
+        found = F.transform(F.array(point), lambda p: F.struct(p.alias("power"), spread(p).alias("value")))
+        return F.transform(
+            found,
+            lambda new: F.struct(
+                a.alias("a"), b.alias("b"),
+                F.when(left, new["power"]).otherwise(t["d"]).alias("c"), F.when(left, t["c"]).otherwise(new["power"]).alias("d"),
+                F.when(left, new["value"]).otherwise(t["at_d"]).alias("at_c"), F.when(left, t["at_c"]).otherwise(new["value"]).alias("at_d"),
+            ),
+        )[0]
+
+    c, d = high - (high - low) * GOLDEN, low + (high - low) * GOLDEN
+    first = [F.lit(float(v)).alias(name) for name, v in (("a", low), ("b", high), ("c", c), ("d", d))]
+    start = F.struct(*first, spread(F.lit(c)).alias("at_c"), spread(F.lit(d)).alias("at_d"))
+    steps = F.sequence(F.lit(1), F.lit(golden_steps(high - low, tolerance)))
+    best = F.aggregate(steps, start, narrowed, lambda t: (t["a"] + t["b"]) / 2)
+    flat = F.array_max("z") - F.array_min("z") < FLAT
+    return rows.select("series_id", F.when((F.size("z") == 0) | flat, 1.0).otherwise(best).alias("power"))
+
+
+def golden_steps(width: float, tolerance: float) -> int:
+    """Steps of a golden-section search until the bounds are tolerance apart."""
+    return max(1, math.ceil(math.log(tolerance / width) / math.log(GOLDEN)))
 
 
 def box_cox(series: DataFrame, lambdas: DataFrame) -> DataFrame:
     power = F.col("power")
-    value = F.when(power == 0, F.log(_shifted())).otherwise(
-        (F.pow(_shifted(), power) - 1) / F.when(power != 0, power)
-    )
+    value = F.when(F.abs(power) < POWER_ZERO, F.log(_shifted())).otherwise((F.pow(_shifted(), power) - 1) / power)
     return series.join(lambdas, "series_id").withColumn("total_price", value)
 
 
 def inverse_box_cox(transformed: DataFrame) -> DataFrame:
-    """Undo ``box_cox``; the power is taken from the ``power`` column."""
+    """Undo ``box_cox``; the power is taken from the ``power`` column.
+
+    A value below the range of a positive power becomes the smallest sales, none; one at or above the bound
+    that a negative power has would be infinite and becomes null.
+    """
     power, y = F.col("power"), F.col("total_price")
-    base = F.greatest(y * power + 1, F.lit(0.0))
-    value = F.when(power == 0, F.exp(y)).otherwise(F.pow(base, 1 / F.when(power != 0, power)))
+    base = y * power + 1
+    value = (
+        F.when(F.abs(power) < POWER_ZERO, F.exp(y))
+        .when(base > 0, F.pow(base, 1 / power))
+        .when((base <= 0) & (power > 0), 0.0)
+    )
     return transformed.withColumn("total_price", value - F.lit(BOX_COX_SHIFT))
 
 

@@ -82,7 +82,8 @@ def arima_grid_search(
 ) -> DataFrame:
     """Mean AIC and RMSE over expanding folds of each candidate of each series, by exact likelihood.
 
-    A candidate that some fold leaves too few weeks has a row with nulls and a reason.
+    A candidate that some fold leaves too few weeks has a row with nulls and a reason. The RMSE is null if
+    some fold's forecast lies where the Box-Cox transform cannot be undone.
     """
     families = {}
     for number, order in enumerate(_orders(grid)):
@@ -105,7 +106,7 @@ def arima_grid_search(
     scores = (
         work.mapInPandas(fit_folds, "series_id string, candidate int, fold int, aic double, rmse double")
         .groupBy("series_id", "candidate")
-        .agg(F.avg("aic").alias("aic"), F.avg("rmse").alias("rmse"))
+        .agg(F.avg("aic").alias("aic"), F.when(F.count("rmse") == F.count("*"), F.avg("rmse")).alias("rmse"))
     )
     candidates = arima_candidates(series, grid, n_splits, test_size).select("series_id", "candidate", *ORDER, "feasible")
     reason = F.when(F.col("feasible") == 0, "too few weeks in the first fold").alias("reason")
@@ -133,34 +134,62 @@ def training_part(series: DataFrame, test_size: int = TEST_PERIODS) -> DataFrame
     return series.withColumn("_place", place).where(F.col("_place") > test_size).drop("_place")
 
 
-def arima_forecast(series: DataFrame, selected: DataFrame, n_periods: int, box_cox: bool = False) -> DataFrame:
-    """Refit the selected order on all weeks and forecast: (series_id, step, week_end, predicted).
+def arima_fit(series: DataFrame, selected: DataFrame, box_cox: bool = False) -> DataFrame:
+    """The selected order of each series fitted to all weeks: one row per series, which can be stored.
 
-    A series whose selected order is null has its weeks with null predictions.
+    (series_id, last_week, the order, power, parameters, history). A series whose selected order is null has
+    null parameters; power is null without Box-Cox.
     """
-    check_n_periods(n_periods)
     work = spread(_timed(series).join(selected.select("series_id", *ORDER), "series_id"), "series_id")
 
+    def fit_each(batches):
+        for pdf in batches:
+            powers, parameters = [], []
+            for row in pdf.itertuples(index=False):
+                order = {k: int(getattr(row, c)) for k, c in COLUMNS.items()}
+                history = np.asarray(row.history, dtype=float)
+                power = arima.box_cox_power(history) if box_cox else None
+                fitted = arima.fit(arima.to_box_cox(history, power) if box_cox else history, order)
+                powers.append(power)
+                parameters.append(fitted.x[0].tolist())
+            yield pdf.assign(power=pd.Series(powers, dtype=float, index=pdf.index), parameters=parameters)
+
+    known = "series_id string, last_week date, history array<double>, " + ", ".join(f"{c} int" for c in ORDER)
+    ordered = F.col(ORDER[0]).isNotNull()
+    work = work.select("series_id", "last_week", "history", *[F.col(c).cast("int").alias(c) for c in ORDER])
+    fitted = work.where(ordered).mapInPandas(fit_each, known + ", power double, parameters array<double>")
+    every = fitted.unionByName(work.where(~ordered), allowMissingColumns=True)
+    return every.select("series_id", "last_week", *ORDER, "power", "parameters", "history")
+
+
+def forecast_fitted(models: DataFrame, n_periods: int) -> DataFrame:
+    """The weeks after those that arima_fit saw: (series_id, step, week_end, predicted).
+
+    A series without parameters has its weeks with null predictions; so has a week whose Box-Cox value has
+    no finite sales.
+    """
+    check_n_periods(n_periods)
+
     def predict(batches):
         for pdf in batches:
             parts = []
             for row in pdf.itertuples(index=False):
                 order = {k: int(getattr(row, c)) for k, c in COLUMNS.items()}
                 history = np.asarray(row.history, dtype=float)
-                power = arima.box_cox_power(history) if box_cox else None
-                values = arima.to_box_cox(history, power) if box_cox else history
-                predicted = arima.fit(values, order).forecast(n_periods)[0]
-                if box_cox:
-                    predicted = arima.from_box_cox(predicted, power)
-                parts.append((row.series_id, row.last_week, [float(v) for v in predicted]))
+                transformed = not pd.isna(row.power)
+                values = arima.to_box_cox(history, row.power) if transformed else history
+                predicted = arima.known(values, order, row.parameters).forecast(n_periods)[0]
+                if transformed:
+                    predicted = arima.from_box_cox(predicted, row.power)
+                parts.append((row.series_id, row.last_week, [float(v) if np.isfinite(v) else None for v in predicted]))
             yield pd.DataFrame(parts, columns=["series_id", "last_week", "predicted"])
 
-    ordered = F.col(ORDER[0]).isNotNull()
+    fitted = F.col("parameters").isNotNull()
     nothing = F.array_repeat(F.lit(None).cast("double"), n_periods).alias("predicted")
     return (
-        work.where(ordered)
+        models.where(fitted)
         .mapInPandas(predict, "series_id string, last_week date, predicted array<double>")
-        .unionByName(work.where(~ordered).select("series_id", "last_week", nothing))
+        .unionByName(models.where(~fitted).select("series_id", "last_week", nothing))
         .select("series_id", "last_week", F.posexplode("predicted").alias("position", "predicted"))
         .select(
             "series_id",
@@ -171,20 +200,36 @@ def arima_forecast(series: DataFrame, selected: DataFrame, n_periods: int, box_c
     )
 
 
+def arima_forecast(series: DataFrame, selected: DataFrame, n_periods: int, box_cox: bool = False) -> DataFrame:
+    """Refit the selected order on all weeks and forecast: (series_id, step, week_end, predicted).
+
+    A series whose selected order is null has its weeks with null predictions.
+    """
+    check_n_periods(n_periods)
+    return forecast_fitted(arima_fit(series, selected, box_cox), n_periods)
+
+
 def evaluate_forecast(series: DataFrame, selected: DataFrame, test_size: int = TEST_PERIODS, box_cox: bool = False) -> DataFrame:
     """RMSE of each series on its last ``test_size`` weeks, forecast from the weeks before: (series_id, rmse, reason).
 
     selected should come from a search of ``training_part(series, test_size)``. A series without weeks
-    before the hold-out, or without a selected order, has a null and a reason.
+    before the hold-out, without a selected order, or with a week that has no finite forecast, has a null and a reason.
     """
     length = F.count("*").over(Window.partitionBy("series_id"))
     sized = series.withColumn("_length", length)
     marked = tools.time_series_holdout(sized.where(F.col("_length") > test_size).drop("_length"), test_size)
     train = marked.where("is_test = 0").drop("is_test")
     actual = marked.where("is_test = 1").select("series_id", "week_end", F.col("total_price").alias("actual"))
-    predicted = arima_forecast(train, selected, test_size, box_cox).where(F.col("predicted").isNotNull())
-    scores = metrics.rmse(predicted.join(actual, ["series_id", "week_end"]), ["series_id"])
-    every = sized.groupBy("series_id").agg(F.max("_length").alias("_length"))
-    short = F.when(F.col("_length") <= test_size, "no weeks before the hold-out").otherwise("no order was selected")
+    forecast = arima_forecast(train, selected, test_size, box_cox)
+    finite = F.every(F.col("predicted").isNotNull()).over(Window.partitionBy("series_id"))
+    whole = forecast.withColumn("_finite", finite).where("_finite").drop("_finite")
+    scores = metrics.rmse(whole.join(actual, ["series_id", "week_end"]), ["series_id"])
+    chosen = selected.select("series_id", F.col(ORDER[0]).isNotNull().alias("_chosen"))
+    every = sized.groupBy("series_id").agg(F.max("_length").alias("_length")).join(chosen, "series_id", "left")
+    short = (
+        F.when(F.col("_length") <= test_size, "no weeks before the hold-out")
+        .when(F.coalesce("_chosen", F.lit(False)), "no finite forecast")
+        .otherwise("no order was selected")
+    )
     reason = F.when(F.col("rmse").isNull(), short).alias("reason")
     return every.join(scores, "series_id", "left").select("series_id", "rmse", reason)
