@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import io
 import os
 import zlib
 
@@ -133,3 +134,74 @@ def test_false_magic_before_the_header_decodes(spark, size, extra):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert {int(r.record_id): bytes(r.payload) for r in rows} == want and len(rows) == 6
+
+
+def plain_records(data):
+    """An independent reader: header fields and block of each record, by the standard's grammar."""
+    stream, found = gzip.GzipFile(fileobj=io.BytesIO(data)), []
+    while line := stream.readline():
+        assert line == b"WARC/1.1\r\n"
+        fields = {}
+        while (line := stream.readline()) != b"\r\n":
+            name, _, value = line.decode().partition(":")
+            assert name.lower() not in fields
+            fields[name.lower()] = value.strip()
+        found.append((fields, stream.read(int(fields["content-length"]))))
+        assert stream.read(4) == b"\r\n\r\n"
+    return found
+
+
+def test_records_are_valid(spark):
+    path = new_path(spark)
+    warc.write_archive(warc.plan_records(spark.createDataFrame(ROWS + [(None, None, "other", "u")], SCHEMA)), path)
+    records = []
+    for name in sorted(os.listdir(path)):
+        if name.startswith("part-"):
+            with open(f"{path}/{name}", "rb") as file:
+                records += plain_records(file.read())
+    assert len(records) == len(ROWS) + 1
+    ids = [fields["warc-record-id"] for fields, _ in records]
+    assert len(set(ids)) == len(ids) - 1  # one page stands twice
+    bodies = {}
+    for fields, block in records:
+        assert {"warc-type", "warc-date", "warc-target-uri", "content-type"} <= set(fields)
+        head, _, body = block.partition(b"\r\n\r\n")
+        assert head.startswith(b"HTTP/1.1 200 ") and fields["content-type"] == "application/http; msgtype=response"
+        if fields["warc-type"] == "revisit":
+            assert fields["warc-profile"].endswith("/identical-payload-digest") and not body
+            assert fields["warc-refers-to"] in ids
+        else:
+            assert fields["warc-payload-digest"] == "sha1:" + digest(body.decode())
+            bodies[fields["warc-record-id"]] = body.decode()
+    assert sorted(bodies.values()) == sorted({**{r[0]: r[2] or "" for r in ROWS if r[0] not in (1, 2, 3)}, "x": "other"}.values())
+
+
+@pytest.mark.parametrize("size", ["128m", "40", "200"])
+@pytest.mark.parametrize("harm", ["flipped", "cut", "last", "start"])
+def test_damaged_members_are_told(spark, size, harm):
+    texts = {i: "".join(chr(97 + (i * 7 + k * k) % 26) for k in range(300)) for i in range(6)}
+    members = [warc.member(i, f"http://{i}", t.encode(), None) for i, t in texts.items()]
+    at = 5 if harm == "last" else 2
+    if harm == "flipped":
+        members[at] = members[at][:-6] + bytes([members[at][-6] ^ 255]) + members[at][-5:]
+    elif harm == "start":
+        members[at] = members[at][:10] + b"\xff" * 8 + members[at][18:]
+    else:
+        members[at] = members[at][:-40]
+    path = new_path(spark)
+    os.makedirs(path)
+    with open(f"{path}/part-0.txt", "wb") as file:
+        file.write(b"\0".join(members))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        rows = warc.read_archive(spark, path).collect()
+        with pytest.raises(Exception, match="damaged member"):
+            warc.read_archive(spark, path, damaged="raise").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    told = [r for r in rows if r.record_type == "damaged"]
+    assert {int(r.record_id): bytes(r.payload).decode() for r in rows if r.record_type == "response"} == {i: t for i, t in texts.items() if i != at}
+    assert [r.record_id for r in told] == [None if harm == "start" else str(at)] and len(rows) == 6

@@ -81,11 +81,25 @@ def source_mix(spark, sf_dir):
     return placed.select("doc_id", "size", "source_size", "target", "taken", "position", "positions").orderBy("position", "doc_id")
 
 
-@query("op1_warc_round_trip")
+WARC_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+spelled AS (  -- base 32: five hexadecimal digits are four letters
+  SELECT *, list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(hex, 1 + 5 * (k // 4), 5))::BIGINT >> (15 - 5 * (k % 4))) & 31)::INTEGER + 1, 1) FOR k IN range(0, 32)],
+    'string_agg', '') AS payload_digest, max(page_id) OVER (PARTITION BY payload) AS first_id
+  FROM payloads)
+SELECT page_id, strlen(payload) AS payload_bytes, payload_digest,
+  CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM spelled
+"""
+
+
+@query("op1_warc_round_trip", WARC_SQL)
 def warc_round_trip(spark, sf_dir, min_bytes=0):
     path = new_path(spark, "settled") + ".warc.gz.d"
     warc.write_archive(warc.plan_records(table(spark, sf_dir, "pages"), min_bytes), path)
-    records = warc.read_archive(spark, path)
+    records = warc.read_archive(spark, path, damaged="raise")
     return records.select(
         F.col("record_id").cast("long").alias("page_id"),
         "payload_bytes",

@@ -15,8 +15,16 @@ the next task; both report their fragments, which are joined by file in the orde
 Memory holds one record. (Not decidable from a range alone: a record that stores a whole
 compressed archive uncompressed, with a border inside. This writer deflates, and text has no magic.)
 
-Null payloads are empty. Ids are strings in the record header, null ids are left out and read as
-null. Repeated rows give records of their own. An empty table gives an empty archive.
+Records have the headers that WARC/1.1 demands and a block of HTTP head and payload, a revisit the head alone.
+The date is a parameter with a fixed default, so that reruns write the same bytes.
+
+A member that is cut short or does not decode is a row of type "damaged", with the id and the URI if its header
+could be read, or an error if the caller wants one; the records after it are read. So are bytes between members
+that begin with the magic and belong to no record. (A member whose magic is lost cannot be told from padding.)
+
+Null payloads are empty. Ids are strings in the record header; null ids get a generated one, null URLs a fixed
+URI, and both are read as null. Repeated rows give records of their own, those of one id with the same record id.
+An empty table gives an empty archive. Columns other than page_id, url and html have no effect.
 """
 
 import base64
@@ -26,6 +34,7 @@ from collections import deque
 from typing import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +43,12 @@ from tillroll.llm.groups import with_group_min
 # fixed values: the gzip magic with the deflate method, and the WARC version
 MAGIC = b"\x1f\x8b\x08"
 VERSION = "WARC/1.1"
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+HTTP = "application/http"
+
+UNNUMBERED = "urn:unnumbered:"  # record ids of rows without an id
+UNKNOWN = "urn:unknown"  # the URI of rows without a URL
+DATE = "1970-01-01T00:00:00Z"
 
 RECORD = (
     "complete boolean, file string, range long, place long, opened boolean, rest binary, record_type string, record_id string, "
@@ -64,40 +79,45 @@ def header_value(text: str) -> str:
     return " ".join(text.split("\n")).replace("\r", " ")
 
 
-def member(page_id, url, payload: bytes, refers_to) -> bytes:
-    """One gzip member with one record; a revisit has the full payload's digest and size, but not the payload."""
+def member(page_id, url, payload: bytes, refers_to, serial: str = "0", date: str = DATE) -> bytes:
+    """One gzip member with one record; a revisit has the payload's digest and, in its HTTP head, size.
+
+    serial makes the id of a row without page_id; it should be unique in the archive.
+    """
     revisit = refers_to is not None
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    body = head if revisit else head + payload
+    record_id = f"{UNNUMBERED}{serial}" if page_id is None else f"urn:page:{page_id}"
     lines = [
         VERSION,
         f"WARC-Type: {'revisit' if revisit else 'response'}",
+        f"WARC-Record-ID: <{record_id}>",
+        f"WARC-Date: {date}",
+        f"WARC-Target-URI: {UNKNOWN if url is None else header_value(url)}",
         f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}",
-        f"X-Payload-Length: {len(payload)}",
     ]
-    if page_id is not None:
-        lines.append(f"WARC-Record-ID: <urn:page:{page_id}>")
-    if url is not None:
-        lines.append(f"WARC-Target-URI: {header_value(url)}")
     if revisit:
-        lines.append(f"WARC-Refers-To: <urn:page:{refers_to}>")
-    body = b"" if revisit else payload
-    lines.append(f"Content-Length: {len(body)}")
+        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+    lines += [f"Content-Type: {HTTP}; msgtype=response", f"Content-Length: {len(body)}"]
     block = "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
     return packer.compress(block) + packer.flush()
 
 
-def write_archive(planned: DataFrame, path: str) -> None:
+def write_archive(planned: DataFrame, path: str, date: str = DATE) -> None:
     """Write the records that plan_records gives as part files under path."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 payloads = part.column(2).cast(pa.binary())
                 members = [
-                    member(i.as_py(), u.as_py(), p.as_py(), r.as_py())
-                    for i, u, p, r in zip(part.column(0), part.column(1), payloads, part.column(3))
+                    member(i.as_py(), u.as_py(), p.as_py(), r.as_py(), f"{task}-{n}", date)
+                    for n, (i, u, p, r) in enumerate(zip(part.column(0), part.column(1), payloads, part.column(3)), row)
                 ]
+                row += len(members)
                 yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], ["member"])
 
     packed = planned.select("page_id", "url", "html", "refers_to").mapInArrow(pack, "member binary")
@@ -120,22 +140,55 @@ class _Probe:
         return None if BEGIN.startswith(self.head) and not self.decoder.eof else False
 
 
+def _fields(head: bytes) -> dict:
+    """The header lines that follow the first line."""
+    found = {}
+    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        name, _, value = line.partition(":")
+        found[name.strip().lower()] = value.strip()
+    return found
+
+
+def _id(value):
+    uri = (value or "").strip("<>")
+    return None if not uri or uri.startswith(UNNUMBERED) else uri.rpartition(":")[2]
+
+
+def _named(fields):
+    """Record id and URI."""
+    uri = fields.get("warc-target-uri")
+    return _id(fields.get("warc-record-id")), None if uri == UNKNOWN else uri
+
+
 def parse_block(block: bytes):
     """Type, id, uri, refers-to, digest, size and payload of a decoded record."""
     head, _, rest = block.partition(b"\r\n\r\n")
-    fields = {}
-    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
-        name, _, value = line.partition(":")
-        fields[name.strip().lower()] = value.strip()
-    payload = rest[: int(fields.get("content-length", 0))]
+    fields = _fields(head)
+    payload, sent = rest[: int(fields.get("content-length", 0))], {}
+    if fields.get("content-type", "").startswith(HTTP):
+        http, _, payload = payload.partition(b"\r\n\r\n")
+        sent = _fields(http)
     kind = fields.get("warc-type", "")
     if kind == "revisit":
-        digest = fields.get("warc-payload-digest", "").rpartition(":")[2]
-        size = int(fields.get("x-payload-length", 0))
+        digest, size = fields.get("warc-payload-digest", "").rpartition(":")[2], sent.get("content-length", "")
+        size = int(size) if size.isdigit() else None
     else:
         digest, size = base32_sha1(payload), len(payload)
-    ids = [fields[k].strip("<>").rpartition(":")[2] if k in fields else None for k in ("warc-record-id", "warc-refers-to")]
-    return kind, ids[0], fields.get("warc-target-uri"), ids[1], digest, size, payload
+    record_id, uri = _named(fields)
+    return kind, record_id, uri, _id(fields.get("warc-refers-to")), digest, size, payload
+
+
+def _damaged(raw: list[bytes]):
+    """As parse_block, for the bytes of a member that does not decode to its end."""
+    decoder, head, data = zlib.decompressobj(31), b"", b"".join(raw[:1])
+    try:
+        while b"\r\n\r\n" not in head and data:
+            head += decoder.decompress(data, 256)
+            data = decoder.unconsumed_tail
+    except zlib.error:
+        pass
+    head, end, _ = head.partition(b"\r\n\r\n")
+    return "damaged", *(_named(_fields(head)) if end else (None, None)), None, None, None, None
 
 
 class _Range:
@@ -154,7 +207,9 @@ class _Range:
         while waiting:
             piece = waiting.popleft()
             if self.open is not None:
-                rows.extend(self._continue(piece))
+                found, again = self._continue(piece)
+                rows.extend(found)
+                waiting.extendleft(reversed(again))
                 continue
             if not self.pending:
                 self.probe = _Probe()
@@ -171,15 +226,26 @@ class _Range:
         return rows
 
     def _continue(self, piece):
+        """Rows of the open record if the piece ends it, and pieces that turn out not to be its own."""
+        self.raw.append(piece)
         try:
             self.block.append(self.open.decompress(piece))
-        except zlib.error:  # a damaged member ends here; its bytes are no record
-            self.open = None
-            return
-        self.raw.append(piece)
-        if self.open.eof:
-            self.open = None
-            yield (True, self.file, self.offset, 0, False, None, *parse_block(b"".join(self.block)))
+        except zlib.error:  # the member was cut short or damaged before: what follows its first piece is looked at again
+            return self.close(), self.raw[1:]
+        if not self.open.eof:
+            return [], []
+        self.open = None
+        return [self._row(parse_block(b"".join(self.block)))], []
+
+    def _row(self, facts):
+        return (True, self.file, self.offset, 0, False, None, *facts)
+
+    def close(self):
+        """Give up the record that is open; gives its row."""
+        if self.open is None:
+            return []
+        self.open = None
+        return [self._row(_damaged(self.raw))]
 
     def skip(self):
         """Give up the candidate, as nothing follows or what follows is not its own; gives rows like add."""
@@ -243,19 +309,32 @@ def _mend(frame):
     import pandas as pd
 
     done, current = [], _Range(frame["file"].iloc[0], 0)
+
+    def finish():
+        rows = current.close() + current.skip()
+        return rows + current.close() + [current._row(_damaged([piece])) for piece in current.orphan]
+
     for row in frame.sort_values(["range", "place"]).itertuples():
         if row.opened:  # known to be a start: what came before has ended
-            done.extend(current.skip())
+            done.extend(finish())
             current = _Range(row.file, row.range)
         done.extend(current.add(bytes(row.rest)))
-        current.orphan.clear()
-    done.extend(current.skip())
+    done.extend(finish())
     return pd.DataFrame(done, columns=list(frame.columns))
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Records of all part files: record_type, record_id, uri, refers_to, digest, payload_bytes, payload."""
+def read_archive(spark: SparkSession, path: str, damaged: str = "report") -> DataFrame:
+    """Records of all part files: record_type, record_id, uri, refers_to, digest, payload_bytes, payload.
+
+    Damaged members are rows of type "damaged" ("report"), or fail the query ("raise").
+    """
+    if damaged not in ("report", "raise"):
+        raise ValueError(f"damaged must be report or raise, got {damaged!r}")
     scanned = scan_pieces(spark, path)
     cut = scanned.where("NOT complete").groupBy("file").applyInPandas(_mend, RECORD)
     records = scanned.where("complete").unionByName(cut)
-    return records.select("record_type", "record_id", "uri", "refers_to", "digest", "payload_bytes", "payload")
+    kind = F.col("record_type")
+    if damaged == "raise":
+        told = F.raise_error(F.concat(F.lit("damaged member in "), "file")).cast("string")
+        kind = F.when(kind == "damaged", told).otherwise(kind)
+    return records.select(kind.alias("record_type"), "record_id", "uri", "refers_to", "digest", "payload_bytes", "payload")
