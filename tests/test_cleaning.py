@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +119,29 @@ def test_hot_key_is_removed_whole(spark):
         "'C1' invoice", "stock_code", "-1.0D quantity", "TIMESTAMP_NTZ'2020-01-10 00:00:00' invoice_date", "price", "customer_id"
     )
     assert rows(cleaning.remove_instant_cancellations(hot.unionByName(cancel)), "invoice") == [("C1",)]
+
+
+def test_crowded_periods_are_joined_by_days(invoice_lines):
+    """One guest account holds most lines: the pairs tried stay near the matches, and no cell is large."""
+    start, data = dt.datetime(2020, 2, 1), []
+    for i in range(1200):
+        data.append((str(i), "10", 1.0, str(start + dt.timedelta(minutes=61 * i)), 1.0, 1))
+        data.append((f"C{i}", "10", -1.0, str(start + dt.timedelta(minutes=61 * i + 17)), 1.0, 1))
+    data += [("x", "10", 1.0, str(start), 1.0, 2), ("Cx", "10", -1.0, str(start + dt.timedelta(days=3)), 1.0, 2)]
+    data += [("y", "10", 1.0, str(start), 1.0, None), ("Cy", "10", -1.0, str(start), 1.0, None)]
+    lines = invoice_lines(data)
+    purchases, cancels = (
+        [(r[5], dt.datetime.fromisoformat(r[3])) for r in data if r[0].startswith("C") == cancelled and r[5]] for cancelled in (False, True)
+    )
+    window = dt.timedelta(days=15)
+    want = sorted((str(p), str(c)) for a, p in purchases for b, c in cancels if a == b and p <= c < p + window)
+    for crowd in (10, 10**6):
+        found = cleaning.match_cancellations(lines, crowd=crowd).collect()
+        assert sorted((str(r.purchase_date), str(r.cancel_date)) for r in found) == want
+    left, right = cleaning._match_cells(lines, 14, 10)
+    cell = [*cleaning.MATCH_KEYS, "period", "day"]
+    tried = left.groupBy(*cell).agg(F.count("*").alias("p")).join(right.groupBy(*cell).agg(F.count("*").alias("c")), cell)
+    pairs = [r.p * r.c for r in tried.collect()]
+    a_day = 24  # 61 minutes apart
+    assert sum(pairs) < 1.1 * len(want) and max(pairs) <= a_day * 16 * a_day
+    assert left.count() == 1202 and right.where("day >= 0").count() <= 1200 * 16

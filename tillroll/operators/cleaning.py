@@ -12,6 +12,7 @@ from tillroll.schema import (
     NON_CUSTOMER_CODES,
     NON_SALES_CODES,
 )
+from tillroll.session import settle
 
 MATCH_KEYS = ["stock_code", "match_quantity", "price", "customer_id"]
 
@@ -39,8 +40,11 @@ def split_cancellations(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _period(days: int) -> Column:
     """Number of the ``days`` long calendar period a line falls into."""
-    since_epoch = F.date_diff(F.to_date("invoice_date"), F.lit("1970-01-01").cast("date"))
-    return F.floor(since_epoch / (days + 1))
+    return F.floor(_day("invoice_date") / (days + 1))
+
+
+def _day(moment: str) -> Column:
+    return F.date_diff(F.to_date(moment), F.lit("1970-01-01").cast("date"))
 
 
 def _span(days: int) -> Column:
@@ -48,12 +52,12 @@ def _span(days: int) -> Column:
     return F.make_dt_interval(F.lit(days + 1))
 
 
-def match_cancellations(lines: DataFrame, days: int = CANCELLATION_DAYS) -> DataFrame:
-    """Purchases and the cancellations that follow them within ``days`` whole days.
+def _match_cells(lines: DataFrame, days: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct purchases and cancellations, each with the (period, day) cell in which they meet.
 
-    Lines that agree in every matched field are one row with a count, so copies do
-    not multiply. The time range is an equi-join on calendar periods as long as the
-    window: a match lies in the purchase's own period or in the next one.
+    A cancellation stands in its own period and the one before. Where more than ``crowd`` cancellations of a
+    key stand in a period, its cells are single days, and a cancellation stands on each day that its window
+    touches; elsewhere the day is -1. Purchases are never copied.
     """
     keyed = lines.withColumn("match_quantity", abs_quantity(F.col("quantity"))).withColumn(
         "period", _period(days)
@@ -62,17 +66,43 @@ def match_cancellations(lines: DataFrame, days: int = CANCELLATION_DAYS) -> Data
     purchases = purchases.groupBy(
         *MATCH_KEYS, "period", F.col("invoice_date").alias("purchase_date")
     ).agg(F.count("*").alias("purchase_lines"))
-    cancellations = (
-        cancellations.groupBy(*MATCH_KEYS, "period", F.col("invoice_date").alias("cancel_date"))
-        .agg(F.count("*").alias("cancel_lines"))
-        .withColumn("period", F.explode(F.array(F.col("period"), F.col("period") - 1)))
+    cancellations = cancellations.groupBy(*MATCH_KEYS, "period", F.col("invoice_date").alias("cancel_date")).agg(
+        F.count("*").alias("cancel_lines")
+    )
+    # they are few beside the purchases, and read three times
+    cancellations = settle(cancellations).withColumn("period", F.explode(F.array(F.col("period"), F.col("period") - 1)))
+    cell = [*MATCH_KEYS, "period"]
+    crowded = cancellations.groupBy(*cell).agg(F.count("*").alias("_n")).where(F.col("_n") > crowd)
+    crowded = crowded.select(*cell, F.lit(True).alias("_crowded"))
+    whole = F.lit(-1)
+    purchases = purchases.join(crowded, cell, "left").withColumn(
+        "day", F.when(F.col("_crowded"), _day("purchase_date")).otherwise(whole)
     )
+    length = days + 1
+    first = F.greatest(_day("cancel_date") - length, (F.col("period") * length).cast("int"))
+    last = F.least(_day("cancel_date"), ((F.col("period") + 1) * length - 1).cast("int"))
+    touched = F.when(F.col("_crowded"), F.when(first <= last, F.sequence(first, last))).otherwise(F.array(whole))
+    cancellations = cancellations.join(crowded, cell, "left").withColumn("day", F.explode(touched))
+    return purchases.drop("_crowded"), cancellations.drop("_crowded")
+
+
+def match_cancellations(lines: DataFrame, days: int = CANCELLATION_DAYS, crowd: int = 1000) -> DataFrame:
+    """Purchases and the cancellations that follow them within ``days`` whole days.
+
+    Lines that agree in every matched field are one row with a count, so copies do
+    not multiply. The time range is an equi-join on calendar periods as long as the
+    window: a match lies in the purchase's own period or in the next one. Periods with more than
+    ``crowd`` cancellations of a key are joined day by day, so that a hot key is many cells, in which
+    nearly all pairs are matches.
+    """
+    purchases, cancellations = _match_cells(lines, days, crowd)
+    cell = [*MATCH_KEYS, "period", "day"]
     in_window = (F.col("cancel_date") >= F.col("purchase_date")) & (
         F.col("cancel_date") < F.col("purchase_date") + _span(days)
     )
     whole_days = F.extract(F.lit("DAY"), F.col("cancel_date") - F.col("purchase_date"))
     return (
-        purchases.join(cancellations, [*MATCH_KEYS, "period"])
+        purchases.repartition(*cell).join(cancellations.repartition(*cell), cell)
         .where(in_window)
         .select(
             "stock_code",
