@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillroll.operators import baskets, recommend, sampling
@@ -70,6 +71,29 @@ def test_scores_equal_the_dense_formula(spark, random_pairs, sizes):
     assert all(abs(got[k] - wanted[k]) < 1e-12 for k in got)
 
 
+@pytest.mark.parametrize("sizes", [{"stream": False, "cell_pairs": 300}, {"stream": True, "group_members": 50, "slice_items": 5}])
+def test_scores_are_the_same_both_ways(spark, random_pairs, sizes):
+    pairs = table(spark, random_pairs)
+    pairs = pairs.withColumn("split_id", F.explode(F.array(F.lit(1), F.lit(2)))).where("split_id = 1 OR customer_id % 3 > 0")
+    near = nearest_items(pairs, 3, ["split_id"])
+    plainly = candidate_scores(pairs, near, ["split_id"])
+    other = candidate_scores(pairs, near, ["split_id"], **sizes)
+    found, wanted = ({(r.split_id, r.customer_id, r.stock_code): r.score for r in df.collect()} for df in (other, plainly))
+    assert found.keys() == wanted.keys()
+    assert all(abs(found[k] - wanted[k]) < 1e-12 for k in found)
+
+
+@pytest.mark.parametrize("slice_items", [2, 4096])
+def test_candidates_are_the_joined_neighbors_and_travel_as_arrays(spark, slice_items):
+    pairs = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "b"), (None, "a"), (3, "z")], "customer_id long, stock_code string")
+    near = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "a"), ("b", "c"), ("c", None)], "item string, neighbor string")
+    found = recommend.candidate_items(pairs, near, slice_items=slice_items)
+    assert rows(found) == rows(spark.createDataFrame(
+        [(1, "a"), (1, "b"), (1, "c"), (1, None), (2, "a"), (2, "c"), (None, "b"), (None, "c")], "customer_id long, stock_code string"))
+    steps = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" in steps.splitlines()[0] + steps.splitlines()[1]
+
+
 def test_similarity_edges(spark):
     pairs = table(spark, {1: ["a", "b"], 2: ["a", "b"], 3: ["c"], 4: ["a", "d"]})
     edges = {(r.item, r.neighbor): round(r.similarity, 6) for r in baskets.item_similarity(pairs).collect()}
