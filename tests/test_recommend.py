@@ -47,6 +47,15 @@ def test_co_purchases_equal_the_matrix_product(spark, random_pairs, slice_items)
     assert found.count() == len(got)
 
 
+@pytest.mark.parametrize("part_buyers", [3, 10_000])
+def test_pairs_of_items_travel_as_arrays(spark, random_pairs, part_buyers):
+    pairs = table(spark, random_pairs)
+    found = baskets.co_purchases(pairs, part_buyers=part_buyers)
+    assert rows(found) == rows(baskets.co_purchases(pairs, slice_items=7))
+    steps = found._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
+    assert steps.count("HashAggregate") == 2 and "Generate explode(others" in steps
+
+
 @pytest.mark.parametrize("sizes", [{}, {"cell_pairs": 300, "slice_items": 5, "customers_per_copy": 20}])
 def test_scores_equal_the_dense_formula(spark, random_pairs, sizes):
     items, matrix, _, similarity = dense(random_pairs)
