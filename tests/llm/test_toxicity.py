@@ -68,3 +68,24 @@ def test_long_words_are_read_whole():
     clean, toxic = toxicity.Scorer(network).scores([calm, calm + "-" + "-".join(["idiot", "trash", "scum", "vile"] * 8)])
     assert toxic > 0.5 > clean
     assert toxicity.steps_of("a b\n" + "c" * 40) == ["a", "b", "c" * 40] and toxicity.steps_of(None) == []
+
+
+def test_trigrams_are_hashed_once_and_words_of_many_texts_looked_up_together(monkeypatch):
+    calls = []
+    digest = toxicity.xxhash.xxh32_intdigest
+
+    class Counted:
+        @staticmethod
+        def xxh32_intdigest(*given):
+            calls.append(given)
+            return digest(*given)
+
+    texts = [f"word{n} another{n % 7} word{n + 1}" for n in range(400)] + [None, ""]
+    network = toxicity.Network()
+    alone = [toxicity.Scorer(network).scores([text])[0] for text in texts]
+    monkeypatch.setattr(toxicity, "xxhash", Counted)
+    together = toxicity.Scorer(network).scores(texts)
+    assert np.allclose(together, alone, atol=1e-6, rtol=0)
+    words = {w for text in texts for w in toxicity.steps_of(text)}
+    trigrams = {f"<{w}>"[i : i + 3] for w in words for i in range(len(w))}
+    assert len(calls) <= len(words) + len(trigrams)

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tillroll.operators import baskets, recommend, sampling
+from tillroll.operators import baskets, recommend, sampling, scores as scores_module
 from tillroll.operators.dictionary import dense_index
 from tillroll.operators.neighbors import cells, nearest_items
 from tillroll.operators.scores import candidate_scores
@@ -209,6 +209,34 @@ def test_a_large_basket_of_rare_items_is_not_expanded(spark):
     assert plain(nearest_items(pairs, 5)) == plain(baskets.item_neighbors(baskets.item_similarity(pairs), 5))
 
 
+def test_cells_carry_one_number_for_each_item(spark, random_pairs):
+    pairs = table(spark, random_pairs)
+    items, _, work = cells(pairs, 3)
+    at = {r["index"] + (r.buyers << 32) for r in items.collect()}
+    assert work.schema["others"].dataType.simpleString() == "array<bigint>"
+    assert {n for r in work.collect() for n in r.others} <= at
+
+
+def test_ties_of_items_with_other_numbers_of_buyers_follow_the_code(spark):
+    """Between n's value and the next one stand many equal ones; the first by code are kept, whatever their buyers."""
+    bought = {c: ["a", f"x{c:02d}"] for c in range(30)} | {c + 100: ["a", f"w{c // 4:02d}"] for c in range(32)}
+    pairs = table(spark, bought | {c + 200: [f"w{c // 12:02d}"] for c in range(96)})
+    assert plain(nearest_items(pairs, 9)) == plain(baskets.item_neighbors(baskets.item_similarity(pairs), 9))
+
+
+def test_baskets_are_not_copied_for_every_shuffle_partition(spark, random_pairs, monkeypatch):
+    monkeypatch.setattr(scores_module, "LEAST_MEMBERS", 1, raising=False)
+    pairs = table(spark, random_pairs)
+    near = nearest_items(pairs, 3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(8 * spark.sparkContext.defaultParallelism))
+    try:
+        found = candidate_scores(pairs, near, stream=True)
+        assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_no_pairs_give_no_neighbors(spark):
     empty = spark.createDataFrame([], "customer_id long, stock_code string")
     assert nearest_items(empty, 3).count() == 0

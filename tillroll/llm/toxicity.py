@@ -33,8 +33,8 @@ SAMPLE = 2500
 WINDOW, STEP = 48, 24
 WORDS, TRIGRAMS, HIDDEN = 1 << 14, 1 << 12, 8
 ROUNDS, BATCH, RATE, DECAY = 5, 64, 0.015, 4e-4
-#: Windows computed at a time; words a worker remembers.
-WIDTH, REMEMBERED = 512, 150_000
+#: Windows computed at a time; words, and trigrams, a worker remembers; words of several texts that are looked up together, about.
+WIDTH, REMEMBERED, LOOKED_UP = 512, 150_000, 30_000
 #: Characters of the longest word that is taken as one, and between the starts of the pieces of longer ones.
 PIECE, PIECE_STEP = 40, 20
 _find = regex.compile(r"[^\x20\x09-\x0D]+").findall
@@ -47,7 +47,7 @@ def bare_of(word: str) -> str:
 def steps_of(text) -> list:
     """The words of a text, longer ones as overlapping pieces that together have all their characters."""
     words = _find(text) if text else []
-    if all(len(w) <= PIECE for w in words):
+    if max(map(len, words), default=0) <= PIECE:
         return words
     found = []
     for word in words:
@@ -59,11 +59,24 @@ def steps_of(text) -> list:
     return found
 
 
+class Grams(dict):
+    """Entries of trigrams, remembered in bounded memory; words have far fewer trigrams than there are words."""
+
+    def __missing__(self, gram):
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[gram] = entry = xxhash.xxh32_intdigest(gram.encode()) % TRIGRAMS
+        return entry
+
+
+_grams = Grams()
+
+
 def features(word: str):
     """The word's entry and those of its trigrams; case and marks at its ends do not matter."""
     bare = bare_of(word)
     marked = f"<{bare}>"
-    grams = [xxhash.xxh32_intdigest(marked[i : i + 3].encode()) % TRIGRAMS for i in range(len(marked) - 2)]
+    grams = [_grams[marked[i : i + 3]] for i in range(len(marked) - 2)]
     return xxhash.xxh32_intdigest(bare.encode(), 7) % WORDS, grams or [0]
 
 
@@ -200,13 +213,21 @@ class Scorer:
                 pieces.clear()
                 owner.clear()
 
+        waiting, n_words = [], 0
         for n, text in enumerate(texts):
-            ids = self.ids(steps_of(text))
-            for a, b in windows_of(len(ids)):
-                pieces.append(ids[a:b])
-                owner.append(n)
-                if len(pieces) >= 8 * WIDTH:
-                    flush()
+            waiting.append((n, steps_of(text)))
+            n_words += len(waiting[-1][1])
+            if n_words < LOOKED_UP and n + 1 < len(texts):
+                continue
+            every, at = self.ids(list(chain.from_iterable(words for _, words in waiting))), 0
+            for k, words in waiting:
+                ids, at = every[at : at + len(words)], at + len(words)
+                for a, b in windows_of(len(ids)):
+                    pieces.append(ids[a:b])
+                    owner.append(k)
+                    if len(pieces) >= 8 * WIDTH:
+                        flush()
+            waiting, n_words = [], 0
         flush()
         return [float(s) for s in sigmoid(out.astype(np.float64))]
 
