@@ -89,3 +89,18 @@ def test_trigrams_are_hashed_once_and_words_of_many_texts_looked_up_together(mon
     words = {w for text in texts for w in toxicity.steps_of(text)}
     trigrams = {f"<{w}>"[i : i + 3] for w in words for i in range(len(w))}
     assert len(calls) <= len(words) + len(trigrams)
+
+
+def test_scoring_looks_words_up_as_bytes_and_goes_step_by_step_with_the_results_of_training():
+    odd = "<a> Ünïcode, É\x1cx a\xa0b  . ... 日本語テキスト \U0001f600! x idiot's İstanbul \x85 " + "long-" * 30
+    assert [w.decode() for w in toxicity.bytes_of(odd)] == toxicity.steps_of(odd)
+    assert [w.decode() for w in toxicity.bytes_of("a\x1cb\x85 \x0b\x0c c\xa0d\r\n")] == ["a\x1cb\x85", "c\xa0d"]
+    assert toxicity.bytes_of(None) == toxicity.bytes_of("") == []
+    network, words = toxicity.Network(), toxicity.steps_of(odd) * 2 + [f"w{i}" for i in range(5000)]
+    rows = network.inputs_of_words(words)
+    assert np.allclose(rows, network.inputs([toxicity.features(w) for w in words]), atol=1e-6, rtol=0)
+    draw = np.random.default_rng(3)
+    pieces = sorted([draw.integers(len(rows), size=n) for n in (0, 0, 1, 5, 48, 48, 17, 30)], key=len)
+    for some in (pieces, pieces[:2], pieces[-2:]):
+        ids, mask = toxicity.padded(some)
+        assert np.allclose(network.logits(rows, some), network.forward(rows[ids], mask), atol=1e-5, rtol=0)

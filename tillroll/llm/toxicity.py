@@ -17,7 +17,7 @@ both labels counts as toxic. Without any labels all scores are the initial ones.
 
 import math
 import pickle
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -59,19 +59,44 @@ def steps_of(text) -> list:
     return found
 
 
+def bytes_of(text) -> list:
+    """The same as UTF-8: bytes split at just the marks at which words end, and only words not yet known are decoded."""
+    words = text.encode("utf-8", "surrogatepass").split() if text else []
+    if max(map(len, words), default=0) <= PIECE:
+        return words
+    return [step.encode("utf-8", "surrogatepass") for step in steps_of(text)]
+
+
 class Grams(dict):
     """Entries of trigrams, remembered in bounded memory; words have far fewer trigrams than there are words."""
 
     def __missing__(self, gram):
         if len(self) >= REMEMBERED:
             self.clear()
-        self[gram] = entry = xxhash.xxh32_intdigest(gram.encode()) % TRIGRAMS
+        self[gram] = entry = xxhash.xxh32_intdigest(gram.encode("utf-8", "surrogatepass")) % TRIGRAMS
         return entry
 
 
 _grams = Grams()
 
 
+def joined_grams(bares: list):
+    """Entries of the trigrams of words, one array after the other, and how many each word has; see features.
+
+    All trigrams are numbers made of their three code points, and each is hashed once.
+    """
+    points = np.frombuffer("".join([f"<{bare}>" for bare in bares]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    sizes = np.fromiter(map(len, bares), np.int64, len(bares))
+    ends = np.cumsum(sizes + 2)
+    first = np.ones(len(points), bool)  # not the last two characters of a marked word
+    first[ends - 1] = first[ends - 2] = False
+    at = np.flatnonzero(first)
+    keys, place = np.unique((points[at] << 42) | (points[at + 1] << 21) | points[at + 2], return_inverse=True)
+    low = (1 << 21) - 1
+    known = [_grams[chr(key >> 42) + chr(key >> 21 & low) + chr(key & low)] for key in keys.tolist()]
+    return np.array(known, np.int64)[place], sizes
+
+
 def features(word: str):
     """The word's entry and those of its trigrams; case and marks at its ends do not matter."""
     bare = bare_of(word)
@@ -115,6 +140,52 @@ class Network:
             rows[at : at + 2048] = self.p["word"][[word for word, _ in part]] + total / sizes[:, None]
         return rows + self.p["bias"]
 
+    def inputs_of_words(self, words):
+        """As inputs, from the words; the trigrams of a word are added in their order."""
+        rows = np.empty((len(words), 6 * HIDDEN), np.float32)
+        for at in range(0, len(words), 2048):
+            bares = sorted([(bare_of(word), n) for n, word in enumerate(words[at : at + 2048])], key=lambda b: -len(b[0]))
+            order = np.array([n for _, n in bares])
+            bares = [bare for bare, _ in bares]
+            flat, sizes = joined_grams(bares)
+            starts = np.cumsum(sizes) - sizes
+            total = self.p["gram"][flat[starts]]
+            for k in range(1, sizes[0]):  # the words of more than k trigrams come first
+                more = np.searchsorted(-sizes, -k)
+                total[:more] += self.p["gram"][flat[starts[:more] + k]]
+            hashed = [xxhash.xxh32_intdigest(bare.encode("utf-8", "surrogatepass"), 7) % WORDS for bare in bares]
+            rows[at + order] = self.p["word"][hashed] + total / sizes[:, None]
+        return rows + self.p["bias"]
+
+    def logits(self, rows, pieces):
+        """Logits of windows, given as arrays of places in rows, in ascending order of their lengths; see forward.
+
+        Steps come first in all arrays, so that a step is one piece of memory, and shorter windows are left out of it.
+        """
+        sizes, n = np.array([len(piece) for piece in pieces]), len(pieces)
+        steps = max(1, sizes[-1])
+        mask = np.arange(steps)[:, None] < sizes
+        ids = np.zeros((n, steps), np.int64)
+        ids[mask.T] = np.concatenate(pieces)
+        x = rows[ids.T]
+        short = np.searchsorted(sizes, np.arange(steps), "right")
+        states = np.zeros((steps, n, 2 * HIDDEN), np.float32)
+        for way in (0, 1):
+            u, state = self.p[f"u{way}"], np.zeros((n, HIDDEN), np.float32)
+            mine = x[:, :, way * 3 * HIDDEN : (way + 1) * 3 * HIDDEN]
+            for t in range(steps) if way == 0 else range(steps - 1, -1, -1):
+                h, given = state[short[t] :], mine[t, short[t] :]
+                s = h @ u
+                g = np.tanh((given[:, : 2 * HIDDEN] + s[:, : 2 * HIDDEN]) * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
+                c = np.tanh(given[:, 2 * HIDDEN :] + g[:, HIDDEN:] * s[:, 2 * HIDDEN :])
+                h += (1 - g[:, :HIDDEN]) * (c - h)
+                states[t, short[t] :, way * HIDDEN : (way + 1) * HIDDEN] = h
+        e = np.tanh(states.reshape(-1, 2 * HIDDEN) @ self.p["att"]) @ self.p["v"]
+        e = e.reshape(steps, n)
+        e = np.where(mask, np.exp(e - e.max(axis=0)), 0)
+        alpha = e / np.maximum(e.sum(axis=0), 1e-9)
+        return np.einsum("tn,tnh->nh", alpha, states) @ self.p["out"] + self.p["b"][0]
+
     def forward(self, x, mask, keep=False):
         """Logits of windows; x: window, step, gates."""
         n, steps, _ = x.shape
@@ -174,23 +245,32 @@ class Network:
         return g, d_x
 
 
+class Numbered(dict):
+    """Numbers for words, in the order in which they are first asked for."""
+
+    def __missing__(self, word):
+        self[word] = number = len(self)
+        return number
+
+
 class Scorer:
     """Scores of texts; gate inputs of words are remembered."""
 
     def __init__(self, network):
-        self.network, self.known, self.rows = network, {}, np.zeros((1024, 6 * HIDDEN), np.float32)
+        self.network, self.known, self.rows = network, Numbered(), np.zeros((1024, 6 * HIDDEN), np.float32)
 
     def ids(self, words):
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        """Places of words, as bytes, in the rows."""
+        at = len(self.known)
+        found = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        new = list(islice(reversed(self.known), len(self.known) - at))[::-1]
         if new:
-            at = len(self.known)
-            if at + len(new) > len(self.rows):
-                grown = np.zeros((2 * (at + len(new)), 6 * HIDDEN), np.float32)
+            if len(self.known) > len(self.rows):
+                grown = np.zeros((2 * len(self.known), 6 * HIDDEN), np.float32)
                 grown[:at] = self.rows[:at]
                 self.rows = grown
-            self.rows[at : at + len(new)] = self.network.inputs([features(w) for w in new])
-            self.known.update(zip(new, range(at, at + len(new))))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            self.rows[at : len(self.known)] = self.network.inputs_of_words([w.decode("utf-8", "surrogatepass") for w in new])
+        return found
 
     def window_logits(self, pieces):
         """Logits of windows, given as arrays of word ids, in batches of like length."""
@@ -198,13 +278,12 @@ class Scorer:
         logits = np.empty(len(pieces), np.float32)
         for at in range(0, len(order), WIDTH):
             part = order[at : at + WIDTH]
-            ids, mask = padded([pieces[i] for i in part])
-            logits[part] = self.network.forward(self.rows[ids], mask)
+            logits[part] = self.network.logits(self.rows, [pieces[i] for i in part])
         return logits
 
     def scores(self, texts):
         if len(self.known) > REMEMBERED:
-            self.known = {}
+            self.known = Numbered()
         pieces, owner, out = [], [], np.full(len(texts), -np.inf, np.float32)
 
         def flush():
@@ -215,7 +294,7 @@ class Scorer:
 
         waiting, n_words = [], 0
         for n, text in enumerate(texts):
-            waiting.append((n, steps_of(text)))
+            waiting.append((n, bytes_of(text)))
             n_words += len(waiting[-1][1])
             if n_words < LOOKED_UP and n + 1 < len(texts):
                 continue
@@ -267,12 +346,16 @@ def train(texts, toxic, rounds=ROUNDS, seed=5) -> Network:
     step = 0
     for turn in range(rounds):
         pieces, owner = [], []
-        scorer = None
         if turn:
-            scorer = Scorer(network)
-            scorer.rows = network.inputs(found)
+            rows = network.inputs(found)
             every = [(n, a, b) for n, ids in enumerate(docs) for a, b in windows_of(len(ids))]
-            logits = scorer.window_logits([docs[n][a:b] for n, a, b in every])
+            every_piece = [docs[n][a:b] for n, a, b in every]
+            order = sorted(range(len(every)), key=lambda i: len(every_piece[i]))
+            logits = np.empty(len(every), np.float32)
+            for at in range(0, len(order), WIDTH):
+                part = order[at : at + WIDTH]
+                ids, mask = padded([every_piece[i] for i in part])
+                logits[part] = network.forward(rows[ids], mask)
             best = {}
             for (n, a, b), value in zip(every, logits):
                 if n not in best or value > best[n][0]:
