@@ -261,3 +261,20 @@ def test_matrix_coordinates_and_listed_codes(spark, random_pairs):
     assert (got == matrix).all()
     wide = baskets.customer_item_matrix(table(spark, random_pairs), ["003", "absent"]).collect()
     assert {(r.customer_id, r["003"], r["absent"]) for r in wide} == {(c, int("003" in i), 0) for c, i in random_pairs.items()}
+
+
+def test_holdout_moves_pairs_once_and_keeps_repeated_and_unknown_ones(spark):
+    rows = [(c, f"i{n}") for c in (1, 2) for n in range(8)] + [(3, "i1"), (1, "i3"), (1, "i4"), (None, "i1"), (None, "i2"), (None, None)] + [(2, None)]
+    rows += [(None, f"i{n}") for n in range(9)]
+    pairs = spark.createDataFrame(rows, "customer_id long, stock_code string")
+    train, test = sampling.holdout_items(pairs, 4, (1, 2), seed=7)
+    both = train.withColumn("side", F.lit(0)).unionByName(test.withColumn("side", F.lit(1)))
+    found = both.collect()
+    for split in (1, 2):
+        held = [(r.customer_id, r.stock_code) for r in found if r.side and r.split_id == split]
+        left = [(r.customer_id, r.stock_code) for r in found if not r.side and r.split_id == split]
+        assert sorted(c for c, _ in held) == [1] * 4 + [2] * 4
+        known = {pair for pair in held if None not in pair}
+        assert sorted(left, key=str) == sorted([pair for pair in rows if pair not in known], key=str)
+    plan = both._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.replace("ReusedExchange", "").count("Exchange hashpartitioning") <= 2 and "ReusedExchange" in plan
