@@ -141,7 +141,7 @@ class Network:
         return rows + self.p["bias"]
 
     def inputs_of_words(self, words):
-        """As inputs, from the words; the trigrams of a word are added in their order."""
+        """As inputs, from the words."""
         rows = np.empty((len(words), 6 * HIDDEN), np.float32)
         for at in range(0, len(words), 2048):
             bares = sorted([(bare_of(word), n) for n, word in enumerate(words[at : at + 2048])], key=lambda b: -len(b[0]))
@@ -149,10 +149,15 @@ class Network:
             bares = [bare for bare, _ in bares]
             flat, sizes = joined_grams(bares)
             starts = np.cumsum(sizes) - sizes
-            total = self.p["gram"][flat[starts]]
-            for k in range(1, sizes[0]):  # the words of more than k trigrams come first
-                more = np.searchsorted(-sizes, -k)
-                total[:more] += self.p["gram"][flat[starts[:more] + k]]
+            # added up as in inputs, to the last bit: the first to the sum of the others
+            total, rest = self.p["gram"][flat[starts]], np.zeros((len(bares), 6 * HIDDEN), np.float32)
+            long = np.searchsorted(-sizes, -8)  # the words of more trigrams come first
+            for k in range(1, 8):
+                more = max(long, np.searchsorted(-sizes, -k))
+                rest[long:more] += self.p["gram"][flat[starts[long:more] + k]]
+            total += rest
+            if long:
+                total[:long] = np.add.reduceat(self.p["gram"][flat[: starts[long - 1] + sizes[long - 1]]], starts[:long], axis=0)
             hashed = [xxhash.xxh32_intdigest(bare.encode("utf-8", "surrogatepass"), 7) % WORDS for bare in bares]
             rows[at + order] = self.p["word"][hashed] + total / sizes[:, None]
         return rows + self.p["bias"]
@@ -175,16 +180,21 @@ class Network:
             mine = x[:, :, way * 3 * HIDDEN : (way + 1) * 3 * HIDDEN]
             for t in range(steps) if way == 0 else range(steps - 1, -1, -1):
                 h, given = state[short[t] :], mine[t, short[t] :]
-                s = h @ u
-                g = np.tanh((given[:, : 2 * HIDDEN] + s[:, : 2 * HIDDEN]) * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
+                s = (state @ u)[short[t] :]  # of all, so that sums are rounded as in forward
+                g = sigmoid(given[:, : 2 * HIDDEN] + s[:, : 2 * HIDDEN])
                 c = np.tanh(given[:, 2 * HIDDEN :] + g[:, HIDDEN:] * s[:, 2 * HIDDEN :])
                 h += (1 - g[:, :HIDDEN]) * (c - h)
-                states[t, short[t] :, way * HIDDEN : (way + 1) * HIDDEN] = h
-        e = np.tanh(states.reshape(-1, 2 * HIDDEN) @ self.p["att"]) @ self.p["v"]
-        e = e.reshape(steps, n)
-        e = np.where(mask, np.exp(e - e.max(axis=0)), 0)
-        alpha = e / np.maximum(e.sum(axis=0), 1e-9)
-        return np.einsum("tn,tnh->nh", alpha, states) @ self.p["out"] + self.p["b"][0]
+                states[t, :, way * HIDDEN : (way + 1) * HIDDEN] = state
+        return self.pooled(np.ascontiguousarray(states.transpose(1, 0, 2)), mask.T)[0]
+
+    def pooled(self, states, mask):
+        """Logits from the states, and what the slopes need: hidden, alpha, pooled."""
+        hidden = np.tanh(states @ self.p["att"])
+        e = hidden @ self.p["v"]
+        e = np.where(mask > 0, np.exp(e - e.max(axis=1, keepdims=True)), 0)
+        alpha = e / np.maximum(e.sum(axis=1, keepdims=True), 1e-9)
+        pooled = np.einsum("nt,nth->nh", alpha, states)
+        return pooled @ self.p["out"] + self.p["b"][0], hidden, alpha, pooled
 
     def forward(self, x, mask, keep=False):
         """Logits of windows; x: window, step, gates."""
@@ -205,12 +215,7 @@ class Network:
                     tape.append((way, t, h, s[:, 2 * HIDDEN :], z, r, c, m))
                 h = new
                 states[:, t, way * HIDDEN : (way + 1) * HIDDEN] = h
-        hidden = np.tanh(states @ self.p["att"])
-        e = hidden @ self.p["v"]
-        e = np.where(mask > 0, np.exp(e - e.max(axis=1, keepdims=True)), 0)
-        alpha = e / np.maximum(e.sum(axis=1, keepdims=True), 1e-9)
-        pooled = np.einsum("nt,nth->nh", alpha, states)
-        logit = pooled @ self.p["out"] + self.p["b"][0]
+        logit, hidden, alpha, pooled = self.pooled(states, mask)
         return (logit, states, hidden, alpha, pooled, tape) if keep else logit
 
     def gradients(self, x, mask, error, kept):
