@@ -237,6 +237,28 @@ def test_baskets_are_not_copied_for_every_shuffle_partition(spark, random_pairs,
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_neighbor_lists_and_own_items_reach_a_customer_in_one_exchange(spark, random_pairs, monkeypatch):
+    plans, stored = [], scores_module.settle
+
+    def spied(df):
+        plans.append((df.columns[-1], df._jdf.queryExecution().optimizedPlan().toString()))
+        return stored(df)
+
+    monkeypatch.setattr(scores_module, "settle", spied)
+    pairs = stored(table(spark, random_pairs))
+    near = stored(nearest_items(pairs, 3))
+    found = {sizes: rows(candidate_scores(pairs, near, slice_items=sizes).selectExpr("customer_id", "stock_code", "round(score, 12)")) for sizes in (3, 4096)}
+    assert found[3] == found[4096] != []
+    steps = [plan for column, plan in plans if column == "members"][0]
+    assert steps.count("Join ") == 4 and steps.count("Aggregate ") == 3
+
+
+def test_bought_items_without_neighbors_of_their_own_count(spark):
+    pairs = table(spark, {1: ["a", "c"], 2: ["a", "c", "d"], 3: ["z"]})
+    near = spark.createDataFrame([("a", "c"), ("a", "d")], "item string, neighbor string")
+    assert rows(candidate_scores(pairs, near)) == [(1, "d", 1.0)]
+
+
 def test_no_pairs_give_no_neighbors(spark):
     empty = spark.createDataFrame([], "customer_id long, stock_code string")
     assert nearest_items(empty, 3).count() == 0
