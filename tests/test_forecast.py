@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from tests.conftest import rows
+from tillroll.catalog import forecast as catalog
 from tillroll.errors import IncompatibleTransformError, ModelNotFoundError
 from tillroll.functions import arima as single, kalman
 from tillroll.operators import profile, series as tools, stationarity
@@ -169,6 +170,32 @@ def test_pooled_autoregression(spark):
     assert all(low <= r[3] <= high for r in first)
 
 
+def test_registered_autoregression_searches_all_folds(spark, monkeypatch):
+    series = weekly(spark, **{f"s{k}": 50 * (k + 1) + 10 * np.sin(np.arange(90) / 3 + k) for k in range(2)})
+    monkeypatch.setattr(catalog, "country_series", lambda *_: series)
+    monkeypatch.setattr(catalog, "REGRESSORS", {"RandomForestRegressor": {"numTrees": [2], "maxDepth": [2]}})
+    scores = catalog.regressed.__wrapped__(spark, "nowhere")[2]
+    assert rows(scores, "candidate", "fold") == [(0, fold) for fold in range(6)]
+
+
+def test_registered_autoregression_has_the_candidates_of_the_reference():
+    boosted = [p for name, p in autoregression.regressor_grid(catalog.REGRESSORS) if name == "GBTRegressor"]
+    assert len(boosted) == 12 and max(p["maxIter"] for p in boosted) == 200
+
+
+def test_boosted_candidates_of_one_fit_score_as_fitted_alone(spark):
+    series = weekly(spark, **{f"s{k}": 50 * (k + 1) + 10 * np.sin(np.arange(90) / 3 + k) for k in range(3)})
+    settings = {"GBTRegressor": {"maxIter": [5, 2, 9], "maxDepth": [2, 3]}, "RandomForestRegressor": {"numTrees": [3]}}
+    grid = autoregression.regressor_grid(settings)
+    assert sorted(len(sizes) for _, _, sizes in autoregression._fits(grid)) == [1, 3, 3]
+    together = rows(autoregression.autoregression_grid_search(series, settings, n_splits=2, seed=1))
+    alone = []
+    for number, (name, parameters) in enumerate(grid):
+        one = {name: {k: [v] for k, v in parameters.items()}}
+        alone += [(number, *row[1:]) for row in rows(autoregression.autoregression_grid_search(series, one, n_splits=2, seed=1))]
+    assert together == sorted(alone, key=str)
+
+
 def test_stationarity(spark):
     rng = np.random.default_rng(5)
     series = weekly(spark, noise=rng.normal(size=300), walk=np.cumsum(rng.normal(size=300)))

@@ -6,10 +6,12 @@ pooled into one table, on which Spark ML fits tree ensembles.
 
 import itertools
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.contracts import check_n_periods, check_type
@@ -22,6 +24,8 @@ REGRESSORS = {
     "RandomForestRegressor": (RandomForestRegressor, {"numTrees", "maxDepth"}),
 }
 ROUNDS_PER_STORE = 10
+#: Fits that run side by side; each has a few small tasks at a time.
+FITS_AT_ONCE = 8
 
 
 def regressor_grid(settings: dict) -> list[tuple[str, dict]]:
@@ -67,13 +71,47 @@ def _unscaled(column: str):
     return (F.col(column) + 1) / 2 * F.col("range") + F.col("low")
 
 
+def _fits(grid: list) -> list[tuple[str, dict, list]]:
+    """What has to be fitted for the candidates: (name, parameters, [(candidate, boosting rounds or None)]).
+
+    A round of boosting depends on the rounds before it only, so the candidates that differ in their number share
+    the fit of the longest.
+    """
+    fits = {}
+    for number, (name, parameters) in enumerate(grid):
+        rounds = parameters.get("maxIter")
+        same = (name, *sorted((k, v) for k, v in parameters.items() if k != "maxIter"), number if rounds is None else "rounds")
+        fits.setdefault(same, []).append((number, rounds))
+    found = []
+    for sizes in fits.values():
+        longest = max(sizes, key=lambda size: size[1] or 0)[0]
+        found.append((*grid[longest], sizes))
+    return found
+
+
+def _first_trees(fitted: PipelineModel, rounds: int | None) -> PipelineModel:
+    """The fitted pipeline as it was after so many boosting rounds."""
+    model = fitted.stages[-1]
+    if rounds is None or rounds >= model.getNumTrees:
+        return fitted
+    old, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    package = gateway.jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(package.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for k, (tree, weight) in enumerate(itertools.islice(zip(old.trees(), model.treeWeights), rounds)):
+        trees[k], weights[k] = tree, weight
+    shorter = package.GBTRegressionModel(f"{model.uid}_{rounds}", trees, weights)
+    shorter.setFeaturesCol(model.getFeaturesCol())
+    return PipelineModel([*fitted.stages[:-1], GBTRegressionModel(shorter)])
+
+
 def autoregression_grid_search(
     series: DataFrame, settings: dict, lags: int = LAGS, n_splits: int = 6, test_size: int = 8, seed: int = 0
 ) -> DataFrame:
     """RMSE per candidate and fold: (candidate, fold, rmse), in units of sales.
 
     Lag vectors are folded by time within each series; scaling uses the training weeks of
-    the fold only.
+    the fold only. Fits run side by side, and boosted candidates that differ in rounds only are one fit.
     """
     sequences = tools.lag_sequences(series, lags)
     labelled = sequences.withColumn("total_price", F.col("y_1"))
@@ -82,21 +120,29 @@ def autoregression_grid_search(
         .drop("total_price")
         .join(sequences, ["series_id", "week_end"])
     )
-    parts = None
+    scaled = []
     for fold in range(n_splits):
         rows = folded.where(F.col("fold") == fold)
-        train = rows.where("is_test = 0")
-        seen = train.select("series_id", F.explode(F.array("x_1", "y_1")).alias("total_price"))
-        scaled = settle(_scaled_sequences(rows, _scales(seen), lags))
-        for number, (name, parameters) in enumerate(regressor_grid(settings)):
-            model = _pipeline(name, parameters, lags, seed).fit(scaled.where("is_test = 0"))
-            tested = model.transform(scaled.where("is_test = 1")).select(
+        seen = rows.where("is_test = 0").select("series_id", F.explode(F.array("x_1", "y_1")).alias("total_price"))
+        scaled.append(settle(_scaled_sequences(rows, _scales(seen), lags)))
+
+    def scores(job):
+        fold, (name, parameters, sizes) = job
+        fitted = _pipeline(name, parameters, lags, seed).fit(scaled[fold].where("is_test = 0"))
+        parts = None
+        for number, size in sizes:
+            tested = _first_trees(fitted, size).transform(scaled[fold].where("is_test = 1")).select(
                 F.lit(number).alias("candidate"), F.lit(fold).alias("fold"),
                 _unscaled("y_1").alias("actual"), _unscaled("prediction").alias("predicted"),
             )
-            scores = metrics.rmse(tested, ["candidate", "fold"])
-            parts = scores if parts is None else parts.unionByName(scores)
-    return parts
+            part = metrics.rmse(tested, ["candidate", "fold"])
+            parts = part if parts is None else parts.unionByName(part)
+        return [tuple(row) for row in parts.collect()]
+
+    jobs = list(itertools.product(range(n_splits), _fits(regressor_grid(settings))))
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        found = [row for part in pool.map(scores, jobs) for row in part]
+    return series.sparkSession.createDataFrame(found, "candidate int, fold int, rmse double")
 
 
 def select_autoregression(scores: DataFrame) -> DataFrame:
