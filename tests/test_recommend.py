@@ -3,10 +3,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tillroll.operators import baskets, recommend, sampling, scores as scores_module
+from tillroll.operators import baskets, pages as pages_module, recommend, sampling, scores as scores_module
 from tillroll.operators.dictionary import dense_index
 from tillroll.operators.neighbors import cells, nearest_items
 from tillroll.operators.scores import candidate_scores
+from tillroll.session import CLEAN_UP, store
 
 
 def table(spark, items_of):
@@ -253,6 +254,45 @@ def test_neighbor_lists_and_own_items_reach_a_customer_in_one_exchange(spark, ra
     assert steps.count("Join ") == 4 and steps.count("Aggregate ") == 3
 
 
+def exchanges(df):
+    """What the exchanges of a plan carry, and the groups that read the pages."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange"), df.rdd.getNumPartitions()
+
+
+def test_groups_read_the_baskets_without_an_exchange(spark, random_pairs):
+    pairs = table(spark, random_pairs)
+    near = nearest_items(pairs, 3, cell_pairs=300)
+    assert exchanges(near)[0] == 0 and exchanges(near)[1] > 2
+
+
+def test_pairs_are_counted_in_parts(random_pairs, monkeypatch):
+    items, matrix, together, _ = dense(random_pairs)
+    for size in (20, 8_000_000):
+        monkeypatch.setattr(pages_module, "PENDING", size)
+        monkeypatch.setattr(pages_module, "CHUNK", size)
+        counted = {}
+        for group in range(3):
+            pairs = pages_module._Pairs(group, 3)
+            for basket in matrix:
+                numbers = np.flatnonzero(basket).astype(np.uint32)
+                pairs.meet(np.array([len(numbers)], np.int32), numbers, np.full(len(numbers), len(numbers), np.int32))
+            counted |= {(int(a), int(b)): int(n) for a, b, n in zip(*pairs.result())}
+        assert counted == {(a, b): together[a, b] for a in range(len(items)) for b in range(len(items)) if a != b and together[a, b]}
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark, tmp_path):
+    numbers = spark.range(1000).repartition(3, "id")
+    kept = numbers.count()
+    for _ in range(2):
+        store(numbers.groupBy((F.col("id") % 7).alias("k")).count(), str(tmp_path / f"t{_}"))
+    assert spark.conf.get(CLEAN_UP, None) in (None, "false")
+    assert numbers.count() == kept and spark.read.parquet(str(tmp_path / "t1")).count() == 7
+    tracker = spark._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    before = tracker.size()
+    store(numbers.groupBy((F.col("id") % 5).alias("k")).count(), str(tmp_path / "more"))
+    assert tracker.size() <= before
+
+
 def test_bought_items_without_neighbors_of_their_own_count(spark):
     pairs = table(spark, {1: ["a", "c"], 2: ["a", "c", "d"], 3: ["z"]})
     near = spark.createDataFrame([("a", "c"), ("a", "d")], "item string, neighbor string")
