@@ -263,6 +263,26 @@ def test_groups_read_the_baskets_without_an_exchange(spark, random_pairs):
     pairs = table(spark, random_pairs)
     near = nearest_items(pairs, 3, cell_pairs=300)
     assert exchanges(near)[0] == 0 and exchanges(near)[1] > 2
+    found = candidate_scores(pairs, near, stream=True, group_members=100)
+    assert exchanges(found)[0] == 0 and exchanges(found)[1] > 2
+    assert rows(found.select("customer_id", "stock_code")) == rows(candidate_scores(pairs, near, stream=False).select("customer_id", "stock_code"))
+
+
+def test_pages_may_come_before_the_customers(spark, random_pairs, monkeypatch):
+    pairs = table(spark, random_pairs).withColumn("split_id", F.explode(F.array(F.lit(1), F.lit(2))))
+    near = nearest_items(pairs, 3, ["split_id"])
+
+    def plainly():
+        found = candidate_scores(pairs, near, ["split_id"], stream=True, group_members=400)
+        return rows(found.select("split_id", "customer_id", "stock_code", F.round("score", 9)))
+
+    wanted, streamer = plainly(), scores_module._streamer
+
+    def turned(*given):
+        return lambda batches: streamer(*given)(reversed([batch.slice(i, 1) for batch in batches for i in range(batch.num_rows)]))
+
+    monkeypatch.setattr(scores_module, "_streamer", turned)
+    assert plainly() == wanted != []
 
 
 def test_pairs_are_counted_in_parts(random_pairs, monkeypatch):
