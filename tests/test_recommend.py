@@ -48,6 +48,17 @@ def test_co_purchases_equal_the_matrix_product(spark, random_pairs, slice_items)
     assert found.count() == len(got)
 
 
+@pytest.mark.parametrize("group_pairs", [40, 16_000_000])
+def test_co_purchases_are_the_same_from_pages(spark, random_pairs, group_pairs):
+    extra = spark.createDataFrame([(None, "003"), (None, "004"), (1, None), (0, "000")], "customer_id long, stock_code string")
+    pairs = table(spark, random_pairs).unionByName(extra).withColumn("split_id", F.explode(F.array(F.lit(1), F.lit(2), F.lit(None)))).where("split_id = 1 OR customer_id % 3 > 0")
+    found = baskets.co_purchases(pairs, ["split_id"], many_pairs=0, group_pairs=group_pairs)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInArrow" in plan
+    wanted = baskets.co_purchases(pairs, ["split_id"])
+    assert found.dtypes == wanted.dtypes and rows(found) == rows(wanted) != []
+
+
 @pytest.mark.parametrize("part_buyers", [3, 10_000])
 def test_pairs_of_items_travel_as_arrays(spark, random_pairs, part_buyers):
     pairs = table(spark, random_pairs)
