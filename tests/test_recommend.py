@@ -296,6 +296,17 @@ def test_pages_may_come_before_the_customers(spark, random_pairs, monkeypatch):
     assert plainly() == wanted != []
 
 
+@pytest.mark.parametrize("n", [1, 4, 100])
+def test_best_scores_are_enough_for_the_top(spark, random_pairs, n):
+    pairs = table(spark, random_pairs)
+    near = nearest_items(pairs, 3)
+    whole = candidate_scores(pairs, near, stream=True)
+    some = candidate_scores(pairs, near, stream=True, group_members=100, best=n)
+    columns = ["customer_id", "stock_code", F.round("score", 9), "rank"]
+    assert rows(recommend.top_recommendations(some, n).select(columns)) == rows(recommend.top_recommendations(whole, n).select(columns))
+    assert n == 100 or some.count() < whole.count()
+
+
 def test_pairs_are_counted_in_parts(random_pairs, monkeypatch):
     items, matrix, together, _ = dense(random_pairs)
     for size in (20, 8_000_000):
