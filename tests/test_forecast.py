@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillroll.catalog import forecast as catalog
@@ -170,6 +171,15 @@ def test_pooled_autoregression(spark):
     assert all(low <= r[3] <= high for r in first)
 
 
+def test_rows_reach_the_fit_in_one_order(spark):
+    series = weekly(spark, **{f"s{k}": np.arange(30.0) + k for k in range(5)})
+    found = []
+    for df in (series, series.orderBy(F.desc("total_price"), "series_id").repartition(3)):
+        sequences = tools.lag_sequences(df, 4).orderBy(F.desc("week_end"))
+        found.append(autoregression._scaled_sequences(sequences, autoregression._scales(df), 4).collect())
+    assert found[0] == found[1] and len(found[0]) == 5 * 26
+
+
 def test_registered_autoregression_searches_all_folds(spark, monkeypatch):
     series = weekly(spark, **{f"s{k}": 50 * (k + 1) + 10 * np.sin(np.arange(90) / 3 + k) for k in range(2)})
     monkeypatch.setattr(catalog, "country_series", lambda *_: series)

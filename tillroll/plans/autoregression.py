@@ -57,7 +57,8 @@ def _scales(series: DataFrame) -> DataFrame:
 
 def _scaled_sequences(sequences: DataFrame, scales: DataFrame, lags: int) -> DataFrame:
     names = [*[f"x_{k}" for k in range(1, lags + 1)], "y_1"]
-    joined = sequences.join(scales, "series_id")
+    # forests draw their samples by the order of rows, which a join does not keep
+    joined = sequences.join(scales, "series_id").repartition("series_id").sortWithinPartitions("series_id", "week_end")
     return joined.withColumns({c: (F.col(c) - F.col("low")) / F.col("range") * 2 - 1 for c in names})
 
 
